@@ -207,5 +207,6 @@ def extract(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_see
         joined = found.join(added, "_rid", "left")
         spans = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(f"array<{_SPAN}>"))))
     named = F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(label, s["kind"]), s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, F.lit(i)))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return joined.select("doc_id", *counts, "base_sha256", named.alias("spans"), (F.size(spans) - F.size("base")).cast("long").alias("n_added"))
