@@ -49,7 +49,7 @@ def plain_key(c: Column) -> Column:
 
 def unfold_typography(c: Column) -> Column:
     """Ligatures spelled out, soft hyphens gone, words that a line end cut joined."""
-    out = F.replace(text_or_empty(c), F.lit("­"), F.lit(""))
+    out = F.replace(text_or_empty(c), F.lit("\u00ad"), F.lit(""))
     for mark, letters in K.LIGATURES.items():
         out = F.replace(out, F.lit(mark), F.lit(letters))
     return F.regexp_replace(out, rf"(?<=[a-z])-{SPACE.replace('(?U)', '')}+(?=[a-z])", "")

@@ -121,7 +121,7 @@ def clean_method(text: Column) -> Column:
     t = T.text_or_empty(text)
     mail = F.regexp_extract(F.left(t, F.lit(800)), r"(?si)^(.*?(?:\{[^{}]{0,300}\}\s*)?@[A-Za-z0-9.-]+\.[A-Za-z]{2,})", 1)
     rest = F.substr(t, F.length(mail) + 1)
-    lines = F.filter(F.transform(F.split(rest, r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85  ]"), T.clean_space), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(rest, r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]"), T.clean_space), lambda x: x != "")
     marked = F.transform(lines, lambda x: F.struct(x.alias("x"), x.rlike(r"(?i)^(?:table|tab\.)\s+[A-Z]?\d+\b").alias("caption"), is_table_line(x).alias("table"), ((F.length(x) < 180) & ~x.rlike(r"[.!?]\s*$")).alias("loose")))
 
     def step(acc: Column, m: Column) -> Column:

@@ -33,7 +33,7 @@ _CROSSREF = """
 message struct<title:array<string>,abstract:string,DOI:string,`container-title`:array<string>,publisher:string,subject:array<string>,
 author:array<struct<given:string,family:string>>,issued:struct<`date-parts`:array<array<int>>>>
 """
-_PAPER = "title string, abstract string, year string, authors array<struct<name:string>>, externalIds struct<ArXiv:string,DOI:string,PubMed:string>"
+_PAPER = "array<struct<title:string,abstract:string,year:string,authors:array<struct<name:string>>,externalIds:struct<ArXiv:string,DOI:string,PubMed:string>>>"
 
 
 def _xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFrame:
@@ -162,7 +162,8 @@ def crossref_publications(spark: SparkSession, path: str) -> DataFrame:
 
 def paper_records(spark: SparkSession, path: str) -> DataFrame:
     """Recorded answers of batch paper lookups (JSON arrays that may hold nulls) as index records."""
-    p = spark.read.schema(_PAPER).option("multiLine", True).json(path).where("title is not null or abstract is not null")
+    answers = spark.read.text(path, wholetext=True)  # one answer of at most 500 papers a file
+    p = answers.select(F.explode(F.from_json("value", _PAPER)).alias("p")).where("p is not null").select("p.*")
     names = F.transform(F.coalesce("authors", F.array().cast("array<struct<name:string>>")), lambda a: T.text_or_empty(a["name"]))
     return p.select("title", "abstract", F.col("externalIds.ArXiv").alias("arxiv_id"), F.col("externalIds.DOI").alias("doi"), F.col("externalIds.PubMed").alias("pmid"), names.alias("authors"), "year")
 
