@@ -177,6 +177,8 @@ def _parse(data: bytes, at: int) -> tuple[Frame, int]:
             continue
         (size,) = struct.unpack_from(">H", data, at + 2)
         body = data[at + 4 : at + 2 + size]
+        if len(body) != size - 2:
+            raise ValueError("a segment is cut off")
         at += 2 + size
         if marker == 0xFE:
             frame.comment = body
