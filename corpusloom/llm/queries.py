@@ -120,6 +120,35 @@ from documents d left join kept k using (doc_id)
 left join (select doc_id, count(*) as n from gone group by doc_id) x using (doc_id)
 """
 
+OP1_SQL = """
+with crc_table as (
+  select list(c order by n) as t from (
+    select n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+    from range(256) r(n)
+  )
+),
+base as (
+  select doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 as size,
+         xor(list_reduce(list_concat([4294967295::bigint], [('0x' || b)::bigint for b in regexp_extract_all(hex(encode(coalesce(text, ''))), '..')]),
+                         lambda c, x: xor(c >> 8, t.t[(xor(c, x) & 255) + 1])), 4294967295) as text_crc32,
+         ('0x' || substr(md5('7:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as h
+  from documents, crc_table t
+),
+ranked as (
+  select *, count(*) over (partition by source) as n,
+         row_number() over (partition by source order by h, doc_id nulls first, text_crc32, size) as r
+  from base
+),
+placed as (
+  select *, row_number() over (order by (2 * r - 1)::double / (2 * n)::double, source nulls last, r) - 1 as pos, count(*) over () as total
+  from ranked
+),
+cut as (select *, ((pos + 1) * 8 - 1) // total as shard from placed)
+select doc_id, size, text_crc32, 'rows' as law, cast(shard as int) as shard,
+       cast(pos - shard * total // 8 as bigint) as slot, cast(null as int) as grown_shard
+from cut
+"""
+
 OP3_SQL = """
 with v as (
   select vec_id, [floor(64 * x::double) for x in embedding] as e from embeddings
@@ -175,7 +204,7 @@ select c.doc_id, c.size, c.source_size, c.target,
 from cum c left join edge e on c.source is not distinct from e.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_exact_topk": OP3_SQL, "op7_mixing": OP7_SQL, "op9_line_dedup": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_proportional_shards": OP1_SQL, "op3_exact_topk": OP3_SQL, "op7_mixing": OP7_SQL, "op9_line_dedup": OP9_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
