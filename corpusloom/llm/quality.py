@@ -142,7 +142,7 @@ def fit(
     label: str = "quality",
     modulus: int = 4,
     held_out: int = 2,
-    smoothing: float = 20.0,
+    smoothing: float = 80.0,
     pooled: float = 0.1,
     diagonal: float = 0.05,
 ) -> QualityModel:
