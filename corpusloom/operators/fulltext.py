@@ -14,7 +14,7 @@ from corpusloom import schemas as S
 from corpusloom.functions import quality as Q
 from corpusloom.functions import text as T
 from corpusloom.kernels import citing, structured
-from corpusloom.session import durable
+from corpusloom.session import durable, spread
 
 from .resolution import resolve_references
 from .sections import abstract_by_heading, clean_method, split_sections, union_sections
@@ -36,9 +36,7 @@ def _rows_to_batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.Rec
 def _map_rows(rows: DataFrame, schema: str, one: Callable[[dict], Iterator[dict]]) -> DataFrame:
     """Each input row to any number of rows; batches stay small, so documents may be large."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    parallel = rows.sparkSession.sparkContext.defaultParallelism
-    if len(rows.inputFiles()) < parallel:  # parsing is slow: a few files would keep most cores idle
-        rows = rows.repartition(parallel)
+    rows = spread(rows)  # parsing is slow for its size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,7 +170,7 @@ def build_outputs(documents: DataFrame, metadata: DataFrame, index: DataFrame, *
     they are counted.
     """
     detected = split_sections(F.col("full_text"))
-    docs = documents.withColumn("sections", union_sections(F.coalesce("sections", F.create_map().cast("map<string,string>")), detected))
+    docs = spread(documents).withColumn("sections", union_sections(F.coalesce("sections", F.create_map().cast("map<string,string>")), detected))
     cited = cited_works(docs.withColumn("references_text", F.try_element_at("sections", F.lit("references"))), limits)
     resolved = resolve_references(cited, index, fuzzy_records)
     good = resolved.where(~Q.reference_is_noisy(F.col("title"), F.col("summary")))

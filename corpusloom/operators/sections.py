@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,9 +13,15 @@ from corpusloom.functions import text as T
 Headings = tuple[tuple[str, tuple[str, ...]], ...]
 
 
+def _any_of(patterns: Iterable[str]) -> str:
+    """One pattern that matches where any does, at the start of a line only; the outer anchor lets the
+    engine give up at once everywhere else, which matters on long lines."""
+    return "^(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
+
+
 def _names(line: Column, headings: Headings) -> Column:
     """All section names whose patterns the stripped line fits, in the order of the table."""
-    found = [F.when(line.rlike("|".join(f"(?:{p})" for p in patterns)), F.lit(name)) for name, patterns in headings]
+    found = [F.when(line.rlike(_any_of(patterns)), F.lit(name)) for name, patterns in headings]
     return F.array_compact(F.array(*found))
 
 
@@ -78,7 +84,7 @@ def split_sections(text: Column, headings: Headings = K.SECTION_HEADINGS) -> Col
 
 def abstract_by_heading(text: Column, headings: Headings = K.SECTION_HEADINGS) -> Column:
     """Text from the line behind the first ``abstract`` line to the next other heading; null without one."""
-    any_other = "|".join(f"(?:{p})" for name, patterns in headings if name != "abstract" for p in patterns)
+    any_other = _any_of(p for name, patterns in headings if name != "abstract" for p in patterns)
 
     def part(lines: Column, start: Column) -> Column:
         rest = F.slice(lines, start + 1, F.size(lines))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.session import spread
+
 VENUES = ("Nature", "NeurIPS", "Journal of Made Results", "arXiv preprint", "arXiv (Machine Learning)", "", "Nature Communications", "Naturevision", "Unknown")
 TITLE_CHARS = 300
 
@@ -56,7 +58,7 @@ CAND_SQL = f"""cand as (
 
 def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``paper_id, full_text``: every fourth line is preceded by a heading that the line number chooses."""
-    d = table(spark, sf_dir, "documents").where("doc_id is not null and text is not null")
+    d = spread(table(spark, sf_dir, "documents").where("doc_id is not null and text is not null"))
     heads = "array('Abstract', '1 Introduction', '2. Related Work', '3 Method', 'Results', 'References')"
     line = f"case when i % 4 = 0 then concat(element_at({heads}, cast(pmod(i div 4, 6) as int) + 1), '\\n', x) else x end"
     return d.select(F.col("doc_id"), F.col("doc_id").cast("string").alias("paper_id"), F.expr(f"array_join(transform(split(text, '\\n', -1), (x, i) -> {line}), '\\n')").alias("full_text"))
@@ -64,7 +66,7 @@ def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``paper_id, full_text`` with numeric citations behind sentences and a bibliography of other titles."""
-    d = table(spark, sf_dir, "documents").where("doc_id is not null and text is not null")
+    d = spread(table(spark, sf_dir, "documents").where("doc_id is not null and text is not null"))
     mark = "regexp_replace(text, '([a-z]{3})[.] ', concat('$1 [', doc_id % 7 + 1, ', ', doc_id % 5 + 8, '-', doc_id % 5 + 10, ']. '))"
     entry = "concat('[', n, '] A. Author and B. Other. On the made result number ', doc_id % 50 * 20 + n, ' of corpora. Journal of Results, 20', lpad(cast(10 + n as string), 2, '0'), '. doi:10.1234/src', n, '.', n)"
     refs = f"array_join(transform(sequence(1, 15), n -> {entry}), '\\n')"

@@ -12,6 +12,7 @@ from corpusloom.functions import quality as Q
 from corpusloom.functions import text as T
 from corpusloom.kernels.citing import Limits
 from corpusloom.operators import fulltext, identity, ranking, resolution, sections
+from corpusloom.session import spread
 from corpusloom.sources import payloads, sinks
 
 from .binding import CAND_SQL, candidates, cited_documents, sectioned, table
@@ -122,7 +123,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
   from documents""")
 def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id",
         Q.count_of(t, K.NUMBER).cast("long").alias("numbers"),
         Q.count_of(t, K.LATIN_WORD).cast("long").alias("words"),

@@ -25,3 +25,13 @@ def durable(df: DataFrame) -> DataFrame:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpusloom-"))
     return df.checkpoint(eager=True)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over all cores where they come from fewer files than there are cores.
+
+    A small table in one file is one task; work that is slow for its size would leave the other cores
+    idle. Large inputs have files and splits enough and are left as they are, without a shuffle.
+    """
+    parallel = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(parallel) if len(rows.inputFiles()) < parallel else rows
