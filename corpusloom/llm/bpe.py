@@ -23,7 +23,9 @@ import json
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,9 @@ from pyspark.sql import functions as F
 
 BLOCK_BYTES = 8 << 20
 #: Distinct words that an encoding task remembers; beyond them a word may be encoded again.
-REMEMBERED = 2_000_000
+REMEMBERED = 300_000
+#: Ids that are decoded together.
+DECODED = 1 << 18
 #: Unicode White_Space, the tokenizer pattern's \\s. Fixed values.
 _SPACE = "\t-\r \x85\xa0  -     　"
 _UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
@@ -50,23 +54,22 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        added = spec["added_tokens"]
-        first = spec["pre_tokenizer"]
-        if first["type"] != "ByteLevel" or first["add_prefix_space"] or not first["use_regex"] or spec["normalizer"]:
+        self.library = Tokenizer.from_file(path)
+        first = json.loads(self.library.pre_tokenizer.__getstate__()) if self.library.pre_tokenizer else {"type": None}
+        if first["type"] != "ByteLevel" or first["add_prefix_space"] or not first["use_regex"] or self.library.normalizer:
             raise ValueError("a byte-level tokenizer without normalizer and prefix space is needed")
-        if any(a["single_word"] or a["lstrip"] or a["rstrip"] for a in added):
+        added = self.library.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
             raise ValueError("added tokens must match plainly")
-        self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.added = re.compile("(" + "|".join(re.escape(a["content"]) for a in sorted(added, key=lambda a: -len(a["content"]))) + ")") if added else None
+        strings = sorted((t.content for t in added.values()), key=lambda c: (-len(c), c))
+        self.added = re.compile("(" + "|".join(map(re.escape, strings)) + ")") if strings else None
         # Printable bytes stand for themselves; the others are code points from 256 on, in order.
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = [b for b in range(256) if b not in set(plain)]
         byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-        pieces = dict(spec["model"]["vocab"]) | {a["content"]: a["id"] for a in added}
+        pieces = self.library.get_vocab(with_added_tokens=True)
         self.pieces = [b""] * (max(pieces.values()) + 1)
         for piece, i in pieces.items():
             known = all(c in byte_of for c in piece)
@@ -98,12 +101,17 @@ class Codec:
                 out.append(struct.pack(f"<{len(ids)}I", *ids))
         return out
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All bytes of the pieces of ``ids``, and where each piece ends."""
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(total)], ends
+    def decode(self, ids: np.ndarray) -> str:
+        """The pieces of ``ids`` put together; bytes that are no UTF-8 become U+FFFD."""
+        parts = [ids[i : i + DECODED] for i in range(0, len(ids), DECODED)]
+        return b"".join(_gathered(self.flat, self.starts[p], self.lengths[p]).tobytes() for p in parts).decode("utf-8", "replace")
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The slices of ``flat`` that begin at ``starts``, one behind the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, pa.Array, list[str]]]:
@@ -124,17 +132,20 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str,
         yield f"{part}:{seq}", pa.concat_arrays(keys), texts
 
 
-def _distinct(codec: Codec, texts: list[str], parts: int) -> tuple[list[list[str]], list[list[str]]]:
-    """The words of each text, and the distinct words by part in order of first use."""
-    each = [codec.words(t) for t in texts]
-    seen: dict[str, None] = {}
-    for words in each:
-        seen.update(dict.fromkeys(words))
-    dealt: list[list[str]] = [[] for _ in range(parts)]
+def _numbered(codec: Codec, texts: list[str]) -> tuple[dict[str, int], list[np.ndarray]]:
+    """The distinct words of a block by first use, and each text as their numbers."""
+    seen: defaultdict[str, int] = defaultdict(count().__next__)
+    number = seen.__getitem__
+    return seen, [np.fromiter(map(number, w), np.int32, len(w)) for w in map(codec.words, texts)]
+
+
+def _dealt(words: Iterable[str], parts: int) -> list[list[str]]:
+    """Words by part, in their order."""
+    out: list[list[str]] = [[] for _ in range(parts)]
     digest = xxhash.xxh32_intdigest
-    for w in seen:
-        dealt[digest(w) % parts].append(w)
-    return each, dealt
+    for w in words:
+        out[digest(w) % parts].append(w)
+    return out
 
 
 def _pack_words(words: list[str]) -> bytes:
@@ -153,7 +164,10 @@ def _list_words(path: str, parts: int, size: int):
     def run(batches):
         codec = Codec.of(path)
         for block, _, texts in _blocks(batches, size):
-            for part, words in enumerate(_distinct(codec, texts, parts)[1]):
+            seen: dict[str, None] = {}
+            for t in texts:
+                seen.update(dict.fromkeys(codec.words(t)))
+            for part, words in enumerate(_dealt(seen, parts)):
                 if words:
                     yield _row(block, part, _pack_words(words))
 
@@ -201,33 +215,40 @@ def _join_back(path: str, parts: int, outputs: tuple[str, ...]):
             else:
                 answers[part] = blob
         rows = pa.ipc.open_stream(zstandard.decompress(packed)).read_all()
-        each, dealt = _distinct(codec, rows.column("text").to_pylist(), parts)
-        ids_of: dict[str, bytes] = {}
-        for part, words in enumerate(dealt):
+        del packed
+        seen, each = _numbered(codec, rows.column("text").to_pylist())
+        found: list[bytes] = [b""] * len(seen)
+        for part, words in enumerate(_dealt(seen, parts)):
             if not words:
                 continue
             check, n = struct.unpack_from("<QI", answers.get(part, b"\0" * 12))
             if n != len(words) or check != xxhash.xxh64_intdigest(_pack_words(words)):
-                ids_of.update(zip(words, codec.encode_words(words)))
-                continue
-            raw = zstandard.decompress(answers[part][12:])
-            ends = (4 * n + 4 * np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64)).tolist()
-            ids_of.update(zip(words, [raw[a:z] for a, z in zip([4 * n, *ends[:-1]], ends)]))
-        whole = [b"".join([ids_of[w] for w in words]) for words in each]
+                ids = codec.encode_words(words)
+            else:
+                raw = zstandard.decompress(answers.pop(part)[12:])
+                ends = (4 * n + 4 * np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64)).tolist()
+                ids = [raw[a:z] for a, z in zip([4 * n, *ends[:-1]], ends)]
+            for w, x in zip(words, ids):
+                found[seen[w]] = x
+        del seen
+        # Back by position: the ids of a word stand together in one flat array.
+        lengths = np.array([len(x) // 4 for x in found], np.int64)
+        starts = np.concatenate(([0], np.cumsum(lengths)))[: len(found)]
+        table, found = np.frombuffer(b"".join(found), "<u4"), []
+        whole = [_gathered(table, starts[w], lengths[w]) for w in each]
+        del each, table
+        counts = np.array([len(x) for x in whole], np.int64)
         out: dict[str, pa.Array] = {"doc_id": rows.column("doc_id").combine_chunks()}
-        counts = np.array([len(x) // 4 for x in whole], np.int64)
+        del rows
         if "n_tokens" in outputs:
             out["n_tokens"] = pa.array(counts)
         if "ids_sha256" in outputs:
-            out["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in whole])
-        flat = np.frombuffer(b"".join(whole), "<u4")
+            out["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in whole], pa.string())
         if "ids" in outputs:
-            out["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(flat.astype(np.int32)))
+            flat = np.concatenate(whole) if whole else np.zeros(0, "<u4")
+            out["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(flat.view(np.int32)))
         if {"decoded", "decoded_sha256"} & set(outputs):
-            data, ends = codec.decode(flat)
-            cut = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))].tolist()
-            data = data.tobytes()
-            texts = [data[a:z].decode("utf-8", "replace") for a, z in zip(cut, cut[1:])]
+            texts = [codec.decode(x) for x in whole]
             if "decoded" in outputs:
                 out["decoded"] = pa.array(texts, pa.string())
             if "decoded_sha256" in outputs:
