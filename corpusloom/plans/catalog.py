@@ -247,14 +247,14 @@ def _topical(values: tuple[str, ...], cats: tuple[str, ...], size: int, tag: str
 )
 def search_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = ranking.search_tasks(spark)
-    return grid.select("pos", "tag", F.coalesce(F.array_join("cats", ","), F.lit("")).alias("cats"), "query", "max", "key")
+    return grid.select(F.col("pos").cast("long").alias("pos"), "tag", F.coalesce(F.array_join("cats", ","), F.lit("")).alias("cats"), "query", "max", "key")
 
 
 @query(f"""select m.i * {len(K.CATEGORIES)} + c.j as pos, c.v as category, 'submittedDate:[' || strftime(m.d, '%Y%m') || '010000 TO ' || strftime(last_day(m.d), '%Y%m%d') || '2359]' as date_range,
   regexp_replace(c.v, '^([^.]+)\\.(.*)$', '\\1:\\1:\\2') as oai_set
   from (select date '2026-07-01' - to_months(k::int) as d, k as i from range(139) t(k)) m, (select unnest({_listed(K.CATEGORIES)}) as v, unnest(range({len(K.CATEGORIES)})) as j) c""")
 def harvest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.harvest_tasks(spark).select("pos", "category", "date_range", ranking.set_name(F.col("category")).alias("oai_set"))
+    return ranking.harvest_tasks(spark).select(F.col("pos").cast("long").alias("pos"), "category", "date_range", ranking.set_name(F.col("category")).alias("oai_set"))
 
 
 @query(_with("select seq, venue, field from cand where year between 2018 and 2022"))
