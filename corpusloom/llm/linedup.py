@@ -81,10 +81,11 @@ def _later_copies(runs: DataFrame, ranks: DataFrame, level: int) -> DataFrame:
 
     named = join(mine, "start", "_a")
     named = named.withColumn("_b", F.col("_a")) if step == 1 else join(named, "_tail", "_b")
-    place = F.struct("doc_id", "th", "start")
-    interval = ["n", "_a", "_b"]
-    firsts = named.groupBy(*interval).agg(F.min(place).alias("_first"), F.count("*").alias("_copies")).where("_copies > 1")
-    return named.join(firsts, interval).where(~place.eqNullSafe(F.col("_first"))).select(*DOC, "start", "n")
+    firsts = named.groupBy("n", "_a", "_b").agg(F.min(F.struct("doc_id", "th", "start")).alias("_f"))
+    first = firsts.select("n", F.col("_f.doc_id").alias("_d"), F.col("_f.th").alias("_t"), F.col("_f.start").alias("_l"))
+    # By place, not by interval: however many copies an interval has, no key of this join is frequent.
+    itself = (named["n"] == first["n"]) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")) & (F.col("start") == F.col("_l"))
+    return named.join(first, itself, "left_anti").select(*DOC, "start", "n")
 
 
 def _double(ranks: DataFrame, level: int) -> DataFrame:
