@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import durable
 from .graph import connected_components
+from .shingles import near_copies
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -204,12 +205,16 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     return rows.join(classes, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words_per_shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One document of each group: the one with the smallest doc_id, every column kept.
 
+    Groups are those of ``shingles.near_copies``: shingle sets of a Jaccard similarity of ``least`` or more.
+    At 0.8 fingerprints lie some ten bits apart and more, too far for segment keys that miss nothing.
     Rows that repeat both doc_id and text count as one document, of which one row stays.
     """
-    classes = near_duplicates(docs, key=key, text=text, **options).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
+    rows = durable(near_copies(docs, key=key, text=text, words_per_shingle=words_per_shingle, least=least))
+    firsts = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    classes = rows.join(firsts, "root").where(F.col("component_id").eqNullSafe(F.col("doc_id")))
     kept = durable(classes.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_n")))
     own = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*own).alias("_row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_th"))

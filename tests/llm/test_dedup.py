@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -7,10 +8,10 @@ import numpy as np
 import pytest
 import xxhash
 
-from corpusloom.llm import linedup, simhash
+from corpusloom.llm import linedup, shingles, simhash
 from corpusloom.llm.graph import connected_components
 
-from .data import docs, empty, rows, sentence
+from .data import LETTERS, docs, empty, rows, sentence
 
 
 def plain_fingerprint(text: str | None, k: int = 4) -> int:
@@ -117,6 +118,42 @@ def test_one_document_of_each_group_stays(spark):
     assert simhash.drop_near_duplicates(empty(spark)).count() == simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def plain_shingles(text: str | None, k: int = 5) -> frozenset:
+    lower = re.sub("[A-Z]+", lambda m: m.group().lower(), text or "")
+    own = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    return frozenset(tuple(own[i : i + k]) for i in range(max(1, len(own) - k + 1))) if own else frozenset()
+
+
+def reworded(seed: int, n: int = 160) -> dict[int, str]:
+    """Texts with copies that have a few words replaced, some of them copies of copies, and a common passage."""
+    rng = random.Random(seed)
+    passage, out = sentence(rng, 40), {}
+    for i in range(n):
+        words = out[rng.randrange(i)].split(" ") if i and rng.random() < 0.7 else (sentence(rng, rng.randint(1, 90)) + " " + passage).split(" ")
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = rng.choice(LETTERS) * 8
+        out[i] = " ".join(words)
+    return out
+
+
+@pytest.mark.parametrize("seed, common", [(1, 8), (2, 2), (3, 10**9)])
+def test_one_of_each_group_of_similar_shingles_stays(spark, monkeypatch, seed, common):
+    monkeypatch.setattr(shingles, "COMMON", common)
+    texts = reworded(seed)
+    sets = {i: plain_shingles(t) for i, t in texts.items()}
+    root = {i: i for i in texts}
+    far = 0
+    for i, j in itertools.combinations(texts, 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            far += (plain_fingerprint(texts[i]) ^ plain_fingerprint(texts[j])).bit_count() > 4
+            a, b = sorted((root[i], root[j]))
+            root = {k: a if r == b else r for k, r in root.items()}
+    assert far > 20 and 20 < len(set(root.values())) < 140
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = [r.doc_id for r in simhash.drop_near_duplicates(frame).collect()]
+    assert sorted(kept) == sorted(set(root.values()))
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, x) for x in range(101, 140)] + [(5, 5), (200, 201), (201, 200)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
