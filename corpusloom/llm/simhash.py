@@ -206,15 +206,16 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words_per_shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id, every column kept.
+    """One document of each group: the least by doc_id, null last, and text hash, every column kept.
 
     Groups are those of ``shingles.near_copies``: shingle sets of a Jaccard similarity of ``least`` or more.
     At 0.8 fingerprints lie some ten bits apart and more, too far for segment keys that miss nothing.
     Rows that repeat both doc_id and text count as one document, of which one row stays.
     """
     rows = durable(near_copies(docs, key=key, text=text, words_per_shingle=words_per_shingle, least=least))
-    firsts = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = rows.join(firsts, "root").where(F.col("component_id").eqNullSafe(F.col("doc_id")))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    firsts = rows.groupBy("root").agg(F.min(order).alias("first"))
+    classes = rows.join(firsts, "root").where(F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.hash")))
     kept = durable(classes.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_n")))
     own = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*own).alias("_row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_th"))

@@ -154,6 +154,13 @@ def test_one_of_each_group_of_similar_shingles_stays(spark, monkeypatch, seed, c
     assert sorted(kept) == sorted(set(root.values()))
 
 
+def test_one_stays_where_ids_repeat_or_are_null(spark):
+    texts = [sentence(random.Random(seed), 90) for seed in range(2)]
+    rows_ = [(i, t + end) for i, t in zip((5, None), texts) for end in ("", " one", " two")]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [5, None]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, x) for x in range(101, 140)] + [(5, 5), (200, 201), (201, 200)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
