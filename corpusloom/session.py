@@ -18,20 +18,32 @@ def get_spark(app: str = "corpusloom", **config: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a temporary one only where both are one process."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="corpusloom-")
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the shared folder that ``spark.checkpoint.dir`` names."""
+    """Cut the lineage: write ``df`` to the shared checkpoint folder and read it from there.
+
+    A lost executor costs nothing that is written here.
+    """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpusloom-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """``rows`` over all cores where they come from fewer files than there are cores.
+    """``rows`` over all cores where they are read in fewer parts than there are cores.
 
     A small table in one file is one task; work that is slow for its size would leave the other cores
-    idle. Large inputs have files and splits enough and are left as they are, without a shuffle.
+    idle. Large inputs have splits enough and are left as they are, without a shuffle.
     """
     parallel = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(parallel) if len(rows.inputFiles()) < parallel else rows
+    return rows.repartition(parallel) if rows.rdd.getNumPartitions() < parallel else rows
