@@ -1,8 +1,9 @@
 """Deduplication by rules that depend on the order of rows.
 
 Rows can only influence one another through shared keys, so the sequential rule is applied inside
-each connected component of rows and keys, and all components run in parallel. A component is one
-task's work by the nature of the rule; a generic key that links very many rows makes it long.
+each connected component of rows and keys, and all components run in parallel. Where a rule only keeps
+or drops rows, minima by key decide instead, without components. Merging rows stays sequential inside
+a component: a generic key that links very many rows makes one task long.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.schemas import CANDIDATE_COLUMNS
+from corpusloom.session import durable
 
 from .components import component_of_keys
 
@@ -22,6 +24,8 @@ KEYS = ("_archive", "_doi", "_title")
 #: Venues and fields that a later row may replace. Fixed values.
 OPEN_VENUES = ("", "Unknown", "arXiv preprint")
 OPEN_FIELDS = ("", "Unknown")
+#: Rounds that decide rows by minima before the rest is run through in order, a component a task.
+ROUNDS = 12
 
 
 def _fold(rows: DataFrame, keys: dict[str, object], rule: Callable[[list[dict]], list[dict]], seq: str) -> DataFrame:
@@ -83,24 +87,22 @@ def merge_duplicates(rows: DataFrame, seq: str = "seq") -> DataFrame:
     return _fold(rows, _identity_keys(), _merge_rule(fields), seq)
 
 
-def _first_rule(rows: list[dict]) -> list[dict]:
-    claimed: set[tuple[str, str]] = set()
-    kept = []
-    for row in rows:
-        for name in ("_doi", "_title"):
-            key = (name, row[name])
-            if row[name] is not None and key in claimed:
-                break
-            claimed.add(key)  # a DOI stays claimed even if the title then fails
-        else:
-            kept.append(row)
-    return kept
+def _firsts(rows: DataFrame, key: str, seq: str) -> DataFrame:
+    """The rows that are the first of their key, and those without one. Joined by place, so no key is frequent."""
+    first = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(seq).alias("_first")).select("_first")
+    return rows.where(F.col(key).isNotNull()).join(first, F.col(seq) == F.col("_first"), "left_semi").unionByName(rows.where(F.col(key).isNull()))
 
 
 def keep_first(rows: DataFrame, seq: str = "seq") -> DataFrame:
-    """The first row of each DOI and title stays, by lower case and without final full stops."""
+    """The first row of each DOI and title stays, by lower case and without final full stops.
+
+    A DOI stays claimed even if the title then fails, so the first row of a DOI claims it whatever follows, and
+    a title is claimed by the first row that passed by its DOI: two minima instead of a run in order.
+    """
     title = F.regexp_replace(T.strip(F.lower(T.text_or_empty(F.col("title")))), r"\.+$", "")
-    return _fold(rows, {"_doi": T.filled(F.lower(F.col("doi"))), "_title": title}, _first_rule, seq)
+    keyed = durable(rows.select(seq, T.filled(F.lower(F.col("doi"))).alias("_doi"), title.alias("_title")))
+    kept = _firsts(_firsts(keyed, "_doi", seq), "_title", seq)
+    return rows.join(kept.select(F.col(seq).alias("_kept")), F.col(seq) == F.col("_kept"), "left_semi")
 
 
 def _unseen_rule(rows: list[dict]) -> list[dict]:
@@ -123,7 +125,21 @@ def unseen_rows(cache: DataFrame, fresh: DataFrame, *, empty_is_key: bool, seq:
     new = fresh.withColumns({"_id": id_key, "_title": name_key})
     new = new.join(old.select("_i").distinct(), F.col("_id") == F.col("_i"), "left_anti")
     new = new.join(old.select("_t").distinct(), F.col("_title") == F.col("_t"), "left_anti")
-    return _fold(new.drop("_id", "_title"), {"_id": id_key, "_title": name_key}, _unseen_rule, seq)
+    open_ = durable(new.select(seq, "_id", "_title"))
+    kept = None
+    for _ in range(ROUNDS):
+        # A row that is the first of both its keys is seen before every row it shares one with; those go.
+        first = durable(_firsts(open_, "_id", seq).select(seq).intersect(_firsts(open_, "_title", seq).select(seq)).join(open_, seq))
+        kept = first.select(seq) if kept is None else kept.unionByName(first.select(seq))
+        rest = open_.join(first.select(seq), seq, "left_anti")
+        for k in ("_id", "_title"):
+            rest = rest.join(first.select(F.col(k).alias("_k")).where("_k is not null"), F.col(k) == F.col("_k"), "left_anti")
+        open_ = durable(rest)
+        if open_.isEmpty():
+            break
+    else:
+        kept = kept.unionByName(_fold(open_, {"_id": F.col("_id"), "_title": F.col("_title")}, _unseen_rule, seq).select(seq))
+    return fresh.join(kept.select(F.col(seq).alias("_kept")), F.col(seq) == F.col("_kept"), "left_semi")
 
 
 def merge_harvest(cache: DataFrame, fresh: DataFrame, *, empty_is_key: bool, seq: str = "seq") -> DataFrame:

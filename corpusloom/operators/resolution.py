@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import quality as Q
 from corpusloom.functions import text as T
 from corpusloom.functions.kernels import similarity
+from corpusloom.session import durable
 
 from .ranking import batches
 
 #: Most rows of one lookup request, by service. Fixed values.
 BATCH_SIZES = {"papers": 500, "archive": 100, "pubmed": 200, "titles": 10}
 ID_KEYS = ("arxiv_id", "doi", "pmid")
+#: Buckets of the counts that order the grams of titles.
+GRAM_BITS = 20
 
 
 def normalized_index(records: DataFrame, *, plain: bool = False) -> DataFrame:
@@ -35,18 +40,20 @@ def normalized_index(records: DataFrame, *, plain: bool = False) -> DataFrame:
     return out.where((F.col("title") != "") & Q.is_complete(F.col("abstract")))
 
 
-def _latest(index: DataFrame, key: str) -> DataFrame:
-    record = F.struct("title", "abstract", "arxiv_id", "doi", "pmid", "authors", "year", "seq")
-    return index.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(record, "seq").alias(f"_by_{key}"))
+_RECORD = ("title", "abstract", "arxiv_id", "doi", "pmid", "authors", "year", "seq")
 
 
-def title_index(index: DataFrame) -> DataFrame:
-    """``title_key, _by_title``: titles whose records all have one identity; the last record counts."""
-    keyed = index.withColumn("title_key", T.title_key(F.col("title")))
-    keyed = keyed.withColumn("_best", T.best_identifier(F.col("arxiv_id"), F.col("doi"), F.col("pmid"), F.col("title")))
-    record = F.struct("title", "abstract", "arxiv_id", "doi", "pmid", "authors", "year", "seq")
-    same = keyed.groupBy("title_key").agg(F.max_by(record, "seq").alias("_by_title"), F.min("_best").alias("_a"), F.max("_best").alias("_z"))
-    return same.where("title_key <> '' and _a = _z").select("title_key", "_by_title")
+def _keyed(*keys: Column) -> Column:
+    """Rows of ``kind`` (by priority) and ``key`` for the keys that are not null."""
+    return F.explode(F.array_compact(F.array(*[F.when(k.isNotNull(), F.struct(F.lit(i).alias("kind"), k.alias("key"))) for i, k in enumerate(keys)])))
+
+
+def _lookups(index: DataFrame) -> DataFrame:
+    """``kind, key, hit``: the last record of each id, and of each title whose records all have one identity."""
+    best = T.best_identifier(F.col("arxiv_id"), F.col("doi"), F.col("pmid"), F.col("title"))
+    spread = index.select("seq", best.alias("_b"), _keyed(*[F.col(k) for k in ID_KEYS], T.filled(T.title_key(F.col("title")))).alias("_k")).select("seq", "_b", "_k.*")
+    last = spread.groupBy("kind", "key").agg(F.max("seq").alias("hit"), F.min("_b").alias("_a"), F.max("_b").alias("_z"))
+    return last.where((F.col("kind") < len(ID_KEYS)) | (F.col("_a") == F.col("_z"))).select("kind", "key", "hit")
 
 
 def ambiguous_titles(index: DataFrame) -> DataFrame:
@@ -55,16 +62,23 @@ def ambiguous_titles(index: DataFrame) -> DataFrame:
 
 
 def match(candidates: DataFrame, index: DataFrame) -> DataFrame:
-    """``candidates`` with ``record``: the index row by archive id, DOI, PMID or unambiguous title, in this order."""
-    keys = {"arxiv_id": T.archive_key, "doi": T.doi_key, "pmid": T.pmid_key}
-    out = candidates
-    for name, normal in keys.items():
-        side = _latest(index, name).withColumnRenamed(name, f"_k_{name}")
-        out = out.join(side, T.filled(normal(F.col(name))) == F.col(f"_k_{name}"), "left").drop(f"_k_{name}")
-    titles = title_index(index)
-    out = out.join(titles, T.title_key(F.col("title")) == F.col("title_key"), "left").drop("title_key")
-    found = [f"_by_{k}" for k in (*ID_KEYS, "title")]
-    return out.withColumn("record", F.coalesce(*found)).drop(*found)
+    """``candidates`` with ``record``: the index row by archive id, DOI, PMID or unambiguous title, in this order.
+
+    Distinct sets of keys are looked up, not rows; a missing key is never shuffled, and records travel only
+    once they are chosen. ``seq`` numbers the index rows without repeats.
+    """
+    index = durable(index)
+    normal = [T.archive_key(F.col("arxiv_id")), T.doi_key(F.col("doi")), T.pmid_key(F.col("pmid")), T.title_key(F.col("title"))]
+    keys = [T.filled(k) for k in normal]
+    whole = F.when(F.coalesce(*keys).isNotNull(), F.concat_ws("\n", *[F.coalesce(k, F.lit("")) for k in keys]))
+    asked = candidates.select(whole.alias("_keys"), *[k.alias(f"_{i}") for i, k in enumerate(keys)]).where("_keys is not null").distinct()
+    spread = asked.select("_keys", _keyed(*[F.col(f"_{i}") for i in range(len(keys))]).alias("_k")).select("_keys", "_k.*")
+    hits = spread.join(_lookups(index), ["kind", "key"]).groupBy("_keys").agg(F.min_by("hit", "kind").alias("_hit"))
+    records = hits.join(index.select(F.col("seq").alias("_hit"), F.struct(*_RECORD).alias("record")), "_hit").drop("_hit")
+    rows = candidates.withColumn("_keys", whole)
+    found = rows.where("_keys is not null").join(records, "_keys", "left").drop("_keys")
+    none = rows.where("_keys is null").drop("_keys").withColumn("record", F.lit(None).cast(found.schema["record"].dataType))
+    return found.unionByName(none)
 
 
 def finalize(matched: DataFrame) -> DataFrame:
@@ -98,34 +112,98 @@ def lookup_batches(values: DataFrame, known: DataFrame, column: str, size: int)
     return batches(missing, size, [F.asc("seq"), F.asc(column)])
 
 
+def _gram_length(least: float) -> int:
+    """The longest character grams of which two titles of that ratio always share one."""
+    for q in (4, 3, 2, 1):
+        if all(n - q + 1 - q * _edits(n, least) >= 1 for n in range(q, 400)):
+            return q
+    raise ValueError(f"no exact filter for a ratio of {least}")
+
+
+def _edits(n: int, least: float) -> int:
+    """Most characters that a title of ``n`` and one of ratio ``least`` have outside their matching blocks."""
+    return int(2 * n * (1 - least) / least + 1e-9)
+
+
+def _grams(title: str, q: int) -> np.ndarray:
+    """The grams of a normalized title, numbered where they repeat; a shorter title is one gram."""
+    c = np.frombuffer(title.encode(), np.uint8).astype(np.uint64)
+    width = min(q, len(c))
+    value = np.zeros(len(c) - width + 1, np.uint64)
+    for j in range(width):
+        value = (value << np.uint64(8)) | c[j : len(c) - width + 1 + j]
+    order = np.argsort(value, kind="stable")
+    run = value[order]
+    starts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
+    nth = np.empty(len(run), np.uint64)
+    nth[order] = np.arange(len(run)) - np.repeat(starts, np.diff(np.append(starts, len(run))))
+    return value | (nth << np.uint64(32))
+
+
+def _title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """``a_t, b_t``: every pair of distinct titles whose matching-block ratio can reach ``least``.
+
+    Characters outside the blocks are insertions and deletions, each of which destroys at most ``q`` grams.
+    So the rarest ``q * edits + 1`` grams of both titles, in one order, share one. The order is by counts
+    of a fixed number of hash buckets.
+    """
+    q = _gram_length(least)
+    bucket = lambda g: ((g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+
+    def counted(batches):
+        for batch in batches:
+            found = [bucket(_grams(t.as_py(), q)) for t in batch.column(0)]
+            key, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["bucket", "n"])
+
+    both = durable(left.select(F.col("a_t").alias("t"), F.lit(True).alias("asks")).distinct().unionByName(right.select(F.col("b_t").alias("t"), F.lit(False).alias("asks")).distinct()))
+    sums = both.select("t").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 1 << GRAM_BITS rows at most
+    counts = np.zeros(1 << GRAM_BITS, np.int64)
+    counts[sums.column("bucket").to_numpy()] = sums.column("n").to_numpy()
+    held = both.sparkSession.sparkContext.broadcast(counts)
+
+    def first(batches):
+        for batch in batches:
+            titles, own = batch.column(0).to_pylist(), []
+            for t in titles:
+                g = _grams(t, q)
+                own.append(g[np.lexsort((g, held.value[bucket(g)]))[: q * _edits(len(t), least) + 1]])
+            at = np.repeat(np.arange(len(own)), [len(g) for g in own])
+            gram = np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(gram), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], ["gram", "t", "asks"])
+
+    spread = durable(both.mapInArrow(first, "gram long, t string, asks boolean"))
+    # Runs are joined by gram with the titles' hashes and lengths; the titles come back for the pairs.
+    side = lambda x, asks: spread.where(F.col("asks") == asks).select("gram", F.xxhash64("t").alias(x + "h"), F.length("t").alias(x + "n"))
+    near = 2 * F.least("an", "bn") >= least * (F.col("an") + F.col("bn")) - 1e-9
+    pairs = side("a", True).join(side("b", False), "gram").where(near).select("ah", "bh").distinct()
+    named = both.select(F.xxhash64("t").alias("h"), "t", "asks")
+    pairs = pairs.join(named.where("asks").select(F.col("h").alias("ah"), F.col("t").alias("a_t")), "ah")
+    return pairs.join(named.where("not asks").select(F.col("h").alias("bh"), F.col("t").alias("b_t")), "bh").select("a_t", "b_t")
+
+
 def fuzzy_match(candidates: DataFrame, records: DataFrame, least: float = 0.94) -> DataFrame:
     """``candidates`` (``cand_id``) with the best record by title similarity, year and first surname.
 
-    Similarity is the matching-block ratio. Pairs are compared if one of a title's three rarest words
-    is among the three rarest of the other and their lengths allow the ratio; years may differ by 3.
-    The score adds 0.03 for known years and 0.05 for known surnames; ties go to the first record.
+    Similarity is the matching-block ratio; no pair that reaches ``least`` is missed. Years may differ by 3.
+    The score adds 0.03 for known years and 0.05 for known surnames; ties go to the first record. Rows that
+    agree in title, year and surname are one until the end, so copies are not paired with copies.
     """
-    def prepared(rows: DataFrame, ident: str, authors, prefix: str) -> DataFrame:
-        return rows.select(F.col(ident).alias(prefix + "id"), T.title_key(F.col("title")).alias(prefix + "t"), T.year_of(F.col("year")).alias(prefix + "y"), authors.alias(prefix + "s")).where(F.col(prefix + "t") != "")
-
-    left = prepared(candidates, "cand_id", T.surname_key(F.col("authors")), "a_")
-    right = prepared(records, "seq", F.coalesce(T.first_surname(F.col("authors")), F.lit("")), "b_")
-    words = lambda d, p: d.select(p + "id", F.explode(F.array_distinct(F.split(p + "t", " "))).alias("word"))
-    lw, rw = words(left, "a_"), words(right, "b_")
-    frequency = lw.select("word").unionByName(rw.select("word")).groupBy("word").agg(F.count("*").alias("_f"))
-
-    def rarest(d: DataFrame, key: str) -> DataFrame:
-        nth = F.row_number().over(Window.partitionBy(key).orderBy("_f", "word"))
-        return d.join(frequency, "word").withColumn("_i", nth).where("_i <= 3").select(key, "word")
-
-    pairs = rarest(lw, "a_id").join(rarest(rw, "b_id"), "word").select("a_id", "b_id").distinct().join(left, "a_id").join(right, "b_id")
-    la, lb = F.length("a_t"), F.length("b_t")
-    near = (2 * F.least(la, lb) >= least * (la + lb)) & (F.col("a_y").isNull() | F.col("b_y").isNull() | (F.abs(F.col("a_y") - F.col("b_y")) <= 3))
+    prepare = lambda rows, authors, p: rows.withColumns({p + "t": T.title_key(F.col("title")), p + "y": T.year_of(F.col("year")), p + "s": authors})
+    asked = prepare(candidates, T.surname_key(F.col("authors")), "a_")
+    known = prepare(records, F.coalesce(T.first_surname(F.col("authors")), F.lit("")), "b_")
+    left = durable(asked.where("a_t <> ''").select("a_t", "a_y", "a_s").distinct())
+    right = durable(known.where("b_t <> ''").groupBy("b_t", "b_y", "b_s").agg(F.min("seq").alias("b_id")))
+    pairs = _title_pairs(left, right, least)
+    alike = durable(pairs.withColumn("_r", similarity(F.col("a_t"), F.col("b_t"))).where(F.col("_r") >= least))
+    near = F.col("a_y").isNull() | F.col("b_y").isNull() | (F.abs(F.col("a_y") - F.col("b_y")) <= 3)
     near = near & ((F.col("a_s") == "") | (F.col("b_s") == "") | (F.col("a_s") == F.col("b_s")))
-    scored = pairs.where(near).withColumn("_r", similarity(F.col("a_t"), F.col("b_t"))).where(F.col("_r") >= least)
     bonus = F.when(F.col("a_y").isNotNull() & F.col("b_y").isNotNull(), 0.03).otherwise(0.0) + F.when((F.col("a_s") != "") & (F.col("b_s") != ""), 0.05).otherwise(0.0)
-    best = scored.groupBy("a_id").agg(F.max_by("b_id", F.struct(F.col("_r") + bonus, -F.col("b_id"))).alias("record_seq"))
-    return candidates.join(best, F.col("cand_id") == F.col("a_id"), "left").drop("a_id")
+    scored = left.join(alike, "a_t").join(right, "b_t").where(near)
+    best = scored.groupBy("a_t", "a_y", "a_s").agg(F.max_by("b_id", F.struct(F.col("_r") + bonus, -F.col("b_id"))).alias("record_seq"))
+    best = best.toDF("_t", "_y", "_s", "record_seq")
+    same = (F.col("a_t") == F.col("_t")) & F.col("a_y").eqNullSafe(F.col("_y")) & (F.col("a_s") == F.col("_s"))
+    return asked.join(best, same, "left").drop("a_t", "a_y", "a_s", "_t", "_y", "_s")
 
 
 def latest_publications(rows: DataFrame) -> DataFrame:
@@ -135,17 +213,19 @@ def latest_publications(rows: DataFrame) -> DataFrame:
 
 
 def enrich(rows: DataFrame, publications: DataFrame) -> DataFrame:
-    """Venue and field from publications, only where a row has none of its own."""
-    joined = rows.join(latest_publications(publications), T.doi_key(F.col("doi")) == F.col("doi_key"), "left")
+    """Venue and field from publications, only where a row has none of its own; rows without a DOI are not shuffled."""
+    keyed = rows.withColumn("doi_key", T.filled(T.doi_key(F.col("doi"))))
+    joined = keyed.where("doi_key is not null").join(latest_publications(publications).withColumnRenamed("doi_key", "_k"), F.col("doi_key") == F.col("_k"), "left")
     venue = T.clean_space(F.col("venue"))
-    open_venue = F.col("doi_key").isNotNull() & venue.isin("", "arXiv preprint")
-    open_field = F.col("doi_key").isNotNull() & T.text_or_empty(F.col("field")).isin("", "Unknown") & (T.text_or_empty(F.col("pub_field")) != "")
-    return joined.withColumns(
+    open_venue = F.col("_k").isNotNull() & venue.isin("", "arXiv preprint")
+    open_field = F.col("_k").isNotNull() & T.text_or_empty(F.col("field")).isin("", "Unknown") & (T.text_or_empty(F.col("pub_field")) != "")
+    found = joined.withColumns(
         {
             "venue": F.when(open_venue, F.coalesce(T.filled(F.col("pub_venue")), venue)).otherwise(F.col("venue")),
             "field": F.when(open_field, F.col("pub_field")).otherwise(F.col("field")),
         }
-    ).drop("doi_key", "pub_venue", "pub_field")
+    )
+    return found.select(*rows.columns).unionByName(keyed.where("doi_key is null").select(*rows.columns))
 
 
 def resolve_references(cited: DataFrame, index: DataFrame, fuzzy_records: DataFrame | None = None, most_lookups: int = 30) -> DataFrame:
@@ -160,10 +240,9 @@ def resolve_references(cited: DataFrame, index: DataFrame, fuzzy_records: DataFr
         return found
     rest = cited.join(found.select("paper_id", "ord"), ["paper_id", "ord"], "left_anti")
     tried = title_lookups(rest, most_lookups).withColumn("cand_id", F.concat_ws("/", "paper_id", F.col("ord").cast("string")))
-    extra = normalized_index(fuzzy_records)
+    extra = durable(normalized_index(fuzzy_records))
     hits = fuzzy_match(tried, extra).where("record_seq is not null")
-    record = F.struct("title", "abstract", "arxiv_id", "doi", "pmid", "authors", "year", "seq").alias("record")
-    more = hits.join(extra.select(F.col("seq").alias("record_seq"), record), "record_seq")
+    more = hits.join(extra.select(F.col("seq").alias("record_seq"), F.struct(*_RECORD).alias("record")), "record_seq")
     return found.unionByName(finalize(more).select(*columns))
 
 

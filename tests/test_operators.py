@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,3 +168,90 @@ def test_build_outputs_end_to_end(spark):
     assert row.errors == [] and [r.id for r in row.references] == [f"doi:10.1234/r{i}" for i in range(1, 6)]
     assert row.references[0].citation_contexts[0].source_section == "introduction" and row.venue == "Unknown"
     assert run(pool.where("seq < 5"), 5).errors == ["too few cited-paper abstracts resolved (4 < 5)"]
+
+
+def titles(rng, n):
+    """Titles with typos, some of them of typos, short ones, copies and long ones that repeat themselves."""
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    out = []
+    for _ in range(n):
+        base = list(rng.choice(out)) if out and rng.random() < 0.7 else list(" ".join(rng.choice(words) for _ in range(rng.choice([1, 2, 5, 9, 18, 40]))))
+        for _ in range(rng.choice([0, 0, 1, 2, 3])):
+            at = rng.randrange(len(base) + 1)
+            base[at : at + rng.randint(0, 1)] = rng.choice(["", "x", " ", "Q"])
+        out.append("".join(base))
+    return out + ["", " ", "ab ab ab ab ab ab ab ab ab", "ab ab ab ab ab ab ab ab xb"]
+
+
+@pytest.mark.parametrize("seed, bits", [(1, 20), (2, 3)])
+def test_fuzzy_titles_are_those_of_all_pairs(spark, monkeypatch, seed, bits):
+    from corpusloom.functions import text as T
+
+    monkeypatch.setattr(resolution, "GRAM_BITS", bits)
+    rng = random.Random(seed)
+    names = titles(rng, 260)
+    rows = [(i, t, rng.choice([None, "2015", "2017", "2021"]), rng.choice(["", "Smith", "Jones"])) for i, t in enumerate(names)]
+    asked = spark.createDataFrame([(i, t, y, a + ", A." if a else "") for i, t, y, a in rows[::2]], "cand_id long, title string, year string, authors string")
+    known = spark.createDataFrame([(i, t, y, [a + ", A."] if a else []) for i, t, y, a in rows], "seq long, title string, year string, authors array<string>")
+    key = {r.seq: (r.k, r.s) for r in known.select("seq", T.title_key(F.col("title")).alias("k"), F.coalesce(T.first_surname(F.col("authors")), F.lit("")).alias("s")).collect()}
+    surname = {r.cand_id: r.s for r in asked.select("cand_id", T.surname_key(F.col("authors")).alias("s")).collect()}
+    want = {}
+    for i, _, y, _ in rows[::2]:
+        best = None
+        for j, _, z, _ in rows:
+            a, b, s, t = key[i][0], key[j][0], surname[i], key[j][1]
+            if not a or not b or (y and z and abs(int(y) - int(z)) > 3) or (s and t and s != t):
+                continue
+            ratio = SequenceMatcher(None, a, b).ratio()
+            if ratio >= 0.94:
+                best = max(best or (-1, 0), (ratio + (0.03 if y and z else 0.0) + (0.05 if s and t else 0.0), -j))
+        want[i] = best and -best[1]
+    got = {r.cand_id: r.record_seq for r in resolution.fuzzy_match(asked, known).collect()}
+    assert got == want and sum(v is not None and v != i for i, v in want.items()) > 10
+
+
+def test_a_long_title_with_typos_in_its_rare_words_is_found(spark):
+    title = "on the slow growth of made results in large corpora of invented prose with several typos inside every rare word"
+    bad = title.replace("growth", "grawth").replace("invented", "invenxed").replace("prose", "pruse")
+    asked = spark.createDataFrame([(0, bad, None, "")], "cand_id long, title string, year string, authors string")
+    known = spark.createDataFrame([(7, title, None, [])] + [(10 + i, f"on the results of {i} corpora", None, []) for i in range(30)], "seq long, title string, year string, authors array<string>")
+    assert resolution.fuzzy_match(asked, known).first().record_seq == 7
+
+
+def test_first_and_unseen_rows_match_a_sequential_run(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [{"seq": i, "title": rng.choice(["", None, *(f"T{rng.randrange(40)}." for _ in range(6))]), "doi": rng.choice([None, "", f"D{rng.randrange(30)}"]), "arxiv_id": rng.choice([None, f"2401.{rng.randrange(40):05d}"])} for i in range(150)]
+    claimed, kept = set(), []
+    for r in rows:
+        keys = [("d", r["doi"].lower())] if r["doi"] else []
+        keys.append(("t", (r["title"] or "").lower().rstrip(".")))
+        for k in keys:
+            if k in claimed:
+                break
+            claimed.add(k)
+        else:
+            kept.append(r["seq"])
+    assert sorted(r.seq for r in identity.keep_first(papers(spark, rows)).collect()) == kept
+    for rounds in (12, 1):  # with one round most rows are left to the run in order
+        monkeypatch.setattr(identity, "ROUNDS", rounds)
+        for empty_is_key in (False, True):
+            seen, fresh = set(), []
+            for r in rows:
+                mine = {("i", r["arxiv_id"] or ""), ("t", (r["title"] or "").lower().strip("."))}
+                mine = mine if empty_is_key else {k for k in mine if k[1]}
+                if not mine & seen:
+                    seen |= mine
+                    if r["seq"] >= 20:
+                        fresh.append(r["seq"])
+                elif r["seq"] < 20:
+                    seen |= mine
+            got = identity.unseen_rows(papers(spark, rows[:20]), papers(spark, rows[20:]), empty_is_key=empty_is_key)
+            assert sorted(r.seq for r in got.collect()) == fresh
+
+
+def test_matching_takes_keys_in_order_and_rows_without_any(spark):
+    index = spark.createDataFrame([(0, "Alpha beta", "x" * 90, "1", None, None, [], "2019"), (1, "Gamma", "y" * 90, "1", "10.1/a", None, [], "2019"), (2, "Twice", "z" * 90, None, "10.1/b", None, [], "2019"), (3, "Twice", "z" * 90, None, "10.1/c", None, [], "2019")], "seq bigint, title string, abstract string, arxiv_id string, doi string, pmid string, authors array<string>, year string")
+    asked = [(0, "arXiv:1v2", "10.1/b", None, "Alpha beta"), (1, None, "doi:10.1/B", None, "Gamma"), (2, None, None, None, "ALPHA-beta"), (3, None, None, None, "Twice"), (4, None, None, None, None), (5, "", "", "", "")]
+    frame = spark.createDataFrame(asked, "n int, arxiv_id string, doi string, pmid string, title string")
+    got = {r.n: r.record and r.record.seq for r in resolution.match(frame, index).collect()}
+    assert got == {0: 1, 1: 2, 2: 0, 3: None, 4: None, 5: None}
