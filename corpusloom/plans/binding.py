@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from corpusloom.session import spread
 
 VENUES = ("Nature", "NeurIPS", "Journal of Made Results", "arXiv preprint", "arXiv (Machine Learning)", "", "Nature Communications", "Naturevision", "Unknown")
-TITLE_CHARS = 300
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +23,10 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "split_part(text, '\\n', 1) as title",
         "array(concat('Author ', doc_id % 17, ', A.'), concat('Second ', doc_id % 5)) as authors",
         "cast(2015 + doc_id % 12 as int) as year",
-        "case when doc_id % 4 = 0 then concat('10.1234/', source, '.', doc_id % 200) when doc_id % 9 = 1 then concat('10.48550/arXiv.', doc_id) end as doi",
+        "case when doc_id % 4 = 0 then concat('10.1234/', source, '.', doc_id div 40) when doc_id % 9 = 1 then concat('10.48550/arXiv.', doc_id) end as doi",
         "case when doc_id % 5 = 0 then concat('PMID: ', 100000 + doc_id % 300) end as pmid",
         "case when doc_id % 11 = 0 then concat('pmc', doc_id) end as pmcid",
-        "case when doc_id % 3 <> 0 then concat('2400.', lpad(cast(doc_id % 700 as string), 5, '0'), 'v', 1 + doc_id % 3) end as arxiv_id",
+        "case when doc_id % 3 <> 0 then concat('2400.', lpad(cast(doc_id div 6 as string), 5, '0'), 'v', 1 + doc_id % 3) end as arxiv_id",
         "case when doc_id % 6 = 0 then 'Unknown' when doc_id % 6 = 1 then concat('Field ', lang) end as field",
         f"element_at(array({venues}), cast(doc_id % {len(VENUES)} as int) + 1) as venue",
         "text as abstract",
@@ -43,10 +42,10 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 CAND_SQL = f"""cand as (
   select doc_id as seq, split_part(text, chr(10), 1) as title,
     ['Author ' || (doc_id % 17) || ', A.', 'Second ' || (doc_id % 5)] as authors, cast(2015 + doc_id % 12 as int) as year,
-    case when doc_id % 4 = 0 then '10.1234/' || source || '.' || (doc_id % 200) when doc_id % 9 = 1 then '10.48550/arXiv.' || doc_id end as doi,
+    case when doc_id % 4 = 0 then '10.1234/' || source || '.' || (doc_id // 40) when doc_id % 9 = 1 then '10.48550/arXiv.' || doc_id end as doi,
     case when doc_id % 5 = 0 then 'PMID: ' || (100000 + doc_id % 300) end as pmid,
     case when doc_id % 11 = 0 then 'pmc' || doc_id end as pmcid,
-    case when doc_id % 3 <> 0 then '2400.' || lpad((doc_id % 700)::varchar, 5, '0') || 'v' || (1 + doc_id % 3) end as arxiv_id,
+    case when doc_id % 3 <> 0 then '2400.' || lpad((doc_id // 6)::varchar, 5, '0') || 'v' || (1 + doc_id % 3) end as arxiv_id,
     case when doc_id % 6 = 0 then 'Unknown' when doc_id % 6 = 1 then 'Field ' || lang end as field,
     [{", ".join(f"'{v}'" for v in VENUES)}][1 + doc_id % {len(VENUES)}] as venue, text as abstract,
     case when doc_id % 7 = 0 then ' https://publisher.example/' || doc_id || ' ' end as publisher_url,

@@ -166,28 +166,29 @@ def legacy_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.legacy_venue(candidates(spark, sf_dir)).select("seq", "field", "venue")
 
 
-_DONE = "done as (select arxiv_id as processed_id from cand where seq % 10 = 4 and arxiv_id is not null union select title from cand where seq % 10 = 7)"
+_DONE = "done as (select arxiv_id as processed_id from cand where venue = 'Nature' and arxiv_id is not null union select title from cand where venue = 'Unknown')"
 
 
 @query(_with("select seq from cand where (arxiv_id is null or arxiv_id not in (select processed_id from done where processed_id is not null)) and (title is null or title not in (select processed_id from done where processed_id is not null))", _DONE))
 def unprocessed_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = candidates(spark, sf_dir)
-    done = c.where("seq % 10 = 4 and arxiv_id is not null").select(F.col("arxiv_id").alias("processed_id")).unionByName(c.where("seq % 10 = 7").select(F.col("title").alias("processed_id")))
+    done = c.where("venue = 'Nature' and arxiv_id is not null").select(F.col("arxiv_id").alias("processed_id")).unionByName(c.where("venue = 'Unknown'").select(F.col("title").alias("processed_id")))
     return ranking.unprocessed(c, done).select("seq")
 
 
-@query(_with(f"select distinct coalesce(nullif(arxiv_id, ''), nullif(title, '')) as processed_id from cand where {STEM} in (select {STEM} from cand where seq % 6 = 0)"))
+@query(_with(f"select distinct coalesce(nullif(arxiv_id, ''), nullif(title, '')) as processed_id from cand where {STEM} in (select {STEM} from cand where field = 'Unknown')"))
 def processed_from_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = candidates(spark, sf_dir)
-    stems = c.where("seq % 6 = 0").select(T.output_stem(F.col("arxiv_id"), F.col("doi"), F.col("pmcid"), F.col("title")).alias("stem"))
+    stems = c.where("field = 'Unknown'").select(T.output_stem(F.col("arxiv_id"), F.col("doi"), F.col("pmcid"), F.col("title")).alias("stem"))
     return ranking.processed_by_output(c, stems)
 
 
-@query(_with(f"select distinct {STEM} as stem from cand where seq % 6 = 0 and {STEM} not in (select {STEM} from cand where seq % 4 = 0)"))
+@query(_with(f"select distinct {STEM} as stem from named where {STEM} not in (select {STEM} from cand)", "named as (select null::varchar as arxiv_id, doi, pmcid, title from cand)"))
 def unmatched_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = candidates(spark, sf_dir)
-    stems = c.where("seq % 6 = 0").select(T.output_stem(F.col("arxiv_id"), F.col("doi"), F.col("pmcid"), F.col("title")).alias("stem"))
-    return ranking.unmatched_outputs(stems, c.where("seq % 4 = 0"))
+    # Outputs named before archive ids were known: those of rows with such an id match nothing now.
+    stems = c.select(T.output_stem(F.lit(None).cast("string"), F.col("doi"), F.col("pmcid"), F.col("title")).alias("stem"))
+    return ranking.unmatched_outputs(stems, c)
 
 
 @query(_with("""select count(*) as n_rows, count(*) filter (tier = 3) as n_top, count(*) filter (tier = 2) as n_formal, count(*) filter (tier < 2) as n_preprint, min(year) as min_year, max(year) as max_year,
@@ -201,10 +202,10 @@ def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.source_counts(candidates(spark, sf_dir))
 
 
-@query(_with("select seq, rank from ranked where rank <= coalesce((select max(rank) from (select rank from ranked where seq % 3 = 0 order by rank limit 40)), 0)", _TIERED, _RANKED))
+@query(_with("select seq, rank from ranked where rank <= coalesce((select case when count(*) = 40 then max(rank) end from (select rank from ranked where field like 'Field%' order by rank limit 40)), 9000000000)", _TIERED, _RANKED))
 def success_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = ranking.rank_candidates(candidates(spark, sf_dir))
-    return ranking.first_successes(ranked, F.col("seq") % 3 == 0, 40).select("seq", "rank")
+    return ranking.first_successes(ranked, F.coalesce(F.col("field"), F.lit("")).startswith("Field"), 40).select("seq", "rank")
 
 
 @query(_with("select source, category, count(*) as n from (select case when seq % 3 <> 0 then 'arxiv' end as source, case when seq % 3 = 0 then case when seq % 2 = 0 then 'quality_validation' else 'source_unavailable' end end as category from cand) group by all"))
@@ -218,10 +219,10 @@ def request_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.batches(candidates(spark, sf_dir), 100, [F.asc("year"), F.asc("seq")]).select("seq", "batch")
 
 
-@query(_with("select seq, part from (select *, row_number() over (order by part, seq) as n from (select seq, 0 as part from cand where seq % 4 = 1 union all select seq, 1 from cand where seq % 4 = 2)) where n <= 300"))
+@query(_with("select seq, part from (select *, row_number() over (order by part, seq) as n from (select seq, case when venue = 'Nature' then 0 else 1 end as part from cand)) where n <= 300"))
 def budgeted_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = candidates(spark, sf_dir).select("seq")
-    return ranking.budgeted_union([c.where("seq % 4 = 1").withColumn("part", F.lit(0)), c.where("seq % 4 = 2").withColumn("part", F.lit(1))], 300).select("seq", "part")
+    c = candidates(spark, sf_dir).select("seq", "venue")
+    return ranking.budgeted_union([c.where("venue = 'Nature'").withColumn("part", F.lit(0)), c.where("venue <> 'Nature'").withColumn("part", F.lit(1))], 300).select("seq", "part")
 
 
 def _listed(values: tuple[str, ...]) -> str:
@@ -265,10 +266,10 @@ def search_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Resolution
 
 _IDX = f"""idx as (select * from (select seq, trim(regexp_replace(coalesce(title, ''), {WS}, ' ', 'g')) as title, {ABSTRACT('abstract')} as abstract,
-  nullif({ARCHIVE('arxiv_id')}, '') as a, nullif({DOI('doi')}, '') as d, nullif({PMID('pmid')}, '') as p from cand where seq % 2 = 0)
+  nullif({ARCHIVE('arxiv_id')}, '') as a, nullif({DOI('doi')}, '') as d, nullif({PMID('pmid')}, '') as p from cand)
   where title <> '' and length(abstract) >= 80 and not regexp_matches(abstract, '(?:…|\\.\\.\\.)$'))"""
 _TITLES = f"titles as (select k, max(seq) as s from (select seq, {TITLE('title')} as k, {BEST('a', 'd', 'p', 'title')} as b from idx) where k <> '' group by k having count(distinct b) = 1)"
-_HIT = f"""hit as (select c.seq, coalesce(x.s, y.s, z.s, t.s) as hit_seq from (select * from cand where seq % 2 = 1) c
+_HIT = f"""hit as (select c.seq, coalesce(x.s, y.s, z.s, t.s) as hit_seq from (select seq, 'https://arxiv.org/abs/' || arxiv_id as arxiv_id, 'https://doi.org/' || doi || '.' as doi, pmid, ' ' || title || '!' as title from cand) c
   left join (select a, max(seq) as s from idx where a is not null group by a) x on {ARCHIVE('c.arxiv_id')} = x.a
   left join (select d, max(seq) as s from idx where d is not null group by d) y on {DOI('c.doi')} = y.d
   left join (select p, max(seq) as s from idx where p is not null group by p) z on {PMID('c.pmid')} = z.p
@@ -276,11 +277,13 @@ _HIT = f"""hit as (select c.seq, coalesce(x.s, y.s, z.s, t.s) as hit_seq from (s
 
 
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolution.normalized_index(candidates(spark, sf_dir).where("seq % 2 = 0"), plain=True)
+    return resolution.normalized_index(candidates(spark, sf_dir), plain=True)
 
 
 def _probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates(spark, sf_dir).where("seq % 2 = 1").withColumn("id", F.lit("")).withColumn("citation_contexts", F.array().cast("array<string>"))
+    """All candidates again, as another source writes their keys."""
+    keys = {"arxiv_id": "concat('https://arxiv.org/abs/', arxiv_id)", "doi": "concat('https://doi.org/', doi, '.')", "title": "concat(' ', title, '!')", "id": "''", "citation_contexts": "cast(array() as array<string>)"}
+    return candidates(spark, sf_dir).withColumns({k: F.expr(v) for k, v in keys.items()})
 
 
 @query(_with("select * from hit", _IDX, _TITLES, _HIT))
@@ -335,8 +338,8 @@ def enrich_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fuzzy_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = candidates(spark, sf_dir)
     damaged = F.regexp_replace("title", "^(.{12}).", "$1")
-    probe = c.where("seq % 2 = 1").select(F.col("seq").alias("cand_id"), damaged.alias("title"), "year", F.get("authors", F.lit(0)).alias("authors"))
-    return resolution.fuzzy_match(probe, c.where("seq % 2 = 0")).select("cand_id", "record_seq")
+    probe = c.select(F.col("seq").alias("cand_id"), damaged.alias("title"), "year", F.get("authors", F.lit(0)).alias("authors"))
+    return resolution.fuzzy_match(probe, c).select("cand_id", "record_seq")
 
 
 # Order-dependent deduplication
@@ -354,7 +357,7 @@ def first_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _harvested(spark: SparkSession, sf_dir: str, empty_is_key: bool) -> DataFrame:
     c = candidates(spark, sf_dir)
-    return identity.merge_harvest(c.where("seq % 4 = 0"), c.where("seq % 4 <> 0"), empty_is_key=empty_is_key).select("seq")
+    return identity.merge_harvest(c.where("venue = 'Nature'"), c.where("venue <> 'Nature'"), empty_is_key=empty_is_key).select("seq")
 
 
 @query()
