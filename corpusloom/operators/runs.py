@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
 from corpusloom.functions import quality as Q
 from corpusloom.functions import text as T
+from corpusloom.kernels.citing import Limits
 from corpusloom.schemas import CANDIDATE_COLUMNS
+from corpusloom.session import durable
+from corpusloom.sources.payloads import read_candidates, read_processed, with_seq
+from corpusloom.sources.sinks import write_documents
 
+from .fulltext import build_outputs, parse_cascade
 from .identity import keep_first, merge_duplicates
-from .ranking import first_successes, global_rank, legacy_venue, pending_tasks, rank_candidates, unprocessed
+from .ranking import first_successes, global_rank, legacy_venue, outcome_counts, pending_tasks, rank_candidates, unprocessed
 from .resolution import enrich
 
 
@@ -74,6 +79,50 @@ def plan_downloads(candidates: DataFrame, progress: DataFrame, shard: int, shard
     return ranked.where(F.pmod(F.col("rank") - 1, F.lit(shards)) == shard)
 
 
+def run_shard(
+    spark: SparkSession,
+    folder: str,
+    sources: list[tuple[str, DataFrame, str]],
+    index: DataFrame,
+    *,
+    shard: int = 0,
+    shards: int = 1,
+    most: int | None = None,
+    min_references: int = 1,
+    limits: Limits | None = None,
+) -> DataFrame:
+    """One resumable run over a shard: ``source, category, n`` of what it did.
+
+    ``folder/candidates.jsonl`` holds the candidates. ``sources`` are (name, files, kind) in the order of
+    preference; a file's ``paper_id`` is the output stem of its candidate. A candidate that ``folder/processed``
+    lists is not tried again; a run tries the ``most`` first of the others by rank. Documents go to
+    ``folder/runs/<n>``, then the processed ids are appended, so a run that dies between the two is repeated
+    into the same ``n`` and leaves no second copy.
+    """
+    candidates = with_seq(read_candidates(spark, f"{folder}/candidates.jsonl"), "title", "arxiv_id", "doi")
+    processed = read_processed(spark, f"{folder}/processed")
+    current = processed.where(F.col("pipeline_version") == K.RUN_VERSION)
+    number = current.where(F.col("shard") == shard).agg(F.coalesce(F.max("run") + 1, F.lit(0))).first()[0]
+    # The rank is that of the whole pool, so a shard keeps its slice however far it has come.
+    ranked = rank_candidates(candidates)
+    mine = unprocessed(ranked.where(F.pmod(F.col("rank") - 1, F.lit(shards)) == shard), current.select("processed_id"))
+    if most is not None:
+        mine = global_rank(mine, [F.asc("rank")], "_nth").where(F.col("_nth") <= most).drop("_nth")
+    planned = durable(mine.withColumn("paper_id", T.output_stem(F.col("arxiv_id"), F.col("doi"), F.col("pmcid"), F.col("title"))).dropDuplicates(["paper_id"]))
+    wanted = planned.select("paper_id")
+    parsed = durable(parse_cascade([(name, files.join(wanted, "paper_id", "left_semi"), kind) for name, files, kind in sources]))
+    good = parsed.where("full_text is not null")
+    outputs = durable(build_outputs(good, planned, index, min_references=min_references, limits=limits))
+    write_documents(outputs, f"{folder}/runs/shard={shard}/{number}")
+    tried = wanted.join(parsed.select("paper_id", "source", F.col("errors").alias("parse_errors")), "paper_id", "left").join(outputs.select("paper_id", "errors"), "paper_id", "left")
+    failed = F.when(F.col("source").isNull(), F.coalesce("parse_errors", F.array(F.lit("no source"))))
+    outcome = tried.select(F.when(F.size("errors") == 0, F.col("source")).alias("source"), F.coalesce("errors", failed).alias("errors"))
+    summary = durable(outcome_counts(outcome))
+    ids = planned.select(T.first_filled(F.col("arxiv_id"), F.col("title")).alias("processed_id"), F.lit(K.RUN_VERSION).alias("pipeline_version"), F.lit(shard).alias("shard"), F.lit(number).alias("run"))
+    ids.write.mode("append").parquet(f"{folder}/processed")
+    return summary
+
+
 def output_identity(arxiv_id: Column, doi: Column, pmcid: Column, title: Column) -> Column:
     return T.first_filled(arxiv_id, doi, pmcid, title)
 

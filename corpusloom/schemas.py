@@ -21,4 +21,5 @@ PARSED = f"file_path string, title string, authors string, abstract string, full
 PROGRESS = (
     "pipeline_version int, searches_done array<string>, processed_ids array<string>, papers_processed bigint, total_collected bigint, ok bigint, fail bigint, failure_reasons map<string,bigint>"
 )
+PROCESSED = "processed_id string, pipeline_version int, shard int, run int"
 """Extra columns: every reader adds ``seq LONG``, the order in which rows count."""

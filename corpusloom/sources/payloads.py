@@ -189,6 +189,11 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return p.withColumns({"searches_done": F.coalesce("searches_done", empty), "processed_ids": F.coalesce("processed_ids", empty), "papers_processed": F.coalesce("papers_processed", F.lit(0)), "total_collected": F.coalesce("total_collected", F.lit(0))})
 
 
+def read_processed(spark: SparkSession, path: str) -> DataFrame:
+    """The ids that runs of a folder have tried; none before the first run."""
+    return _or_empty(spark, S.PROCESSED, lambda: spark.read.schema(S.PROCESSED).parquet(path))
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Metadata records: ``.jsonl`` lines, a JSON array, or a JSON object whose values are records.
 
