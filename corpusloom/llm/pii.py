@@ -1,28 +1,35 @@
 """Personal data by bootstrapped contextual extraction.
 
-Four base patterns (email, ip, card, phone) give the seed entities of every whole text. Looser shapes
-of the same kinds ("name at host dot com", a phone number without a plus sign, a card number with a
-wrong check digit ...) are only candidates. Seeds and candidates stand behind one or two words, which
-are their lexical patterns. Patterns and instances form a graph that Spark scores in rounds: the
-confidence of a pattern is the score of the instances it introduces over all the places it stands at
-in the corpus, ordinary words included; an instance is believed by the patterns that introduce it.
-Candidates behind patterns of high confidence, with enough different seeds, are added to the spans.
-
-The corpus is read a second time only if some candidate stands behind an eligible pattern, to count
-those patterns. Their set is broadcast up to ``BROADCAST_PATTERNS`` rows; a larger one is joined.
+Four base patterns (email, ip, card, phone) give the seed entities of every whole text; long runs of
+hexadecimal digits seed a fifth kind, ``secret``. Looser shapes of the same kinds ("name at host dot
+com", a phone number without a plus sign, a shortened IPv6 address, a card number with a wrong check
+digit, a token of letters and digits ...) are only candidates. The one, two and three tokens before an
+entity, and the tokens on both of its sides, are its lexical patterns; a token is a run of letters and
+digits or one other mark, so that ``token = "`` is a pattern.
+
+Patterns and instances form a graph that Spark scores in rounds. A pattern is eligible while enough
+different believed instances stand at it; its confidence is the score of the instances it introduces
+over all the places it stands at in the corpus, ordinary words included; an instance is believed by
+the eligible patterns that introduce it. Rounds end when nothing new is trusted, so an identifier that
+was found teaches further patterns. Every occurrence of a believed instance is added to the spans.
+
+The corpus is read a second time only if some candidate shares a pattern with enough instances, to
+count the places of patterns. They are picked by a bitmap of a fixed size; what it picks beyond the
+patterns that are asked for falls to the join behind it.
 
 Defined cases: a null text is empty; offsets are code points, ends exclusive; base matches that fail
-their test are dropped without a retry; candidates never overlap base spans or one another; rows
-repeat as they stand; an empty table gives none.
+their test are dropped without a retry; added spans never overlap base spans or one another (the
+first, then the longest, stays); rows repeat as they stand; an empty table gives none.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,8 +37,8 @@ from pyspark.sql import functions as F
 
 from .common import durable
 
-KINDS = ("email", "ip", "card", "phone")
-BROADCAST_PATTERNS = 200_000
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE = KINDS[:4]
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match can only begin where a run of digits begins, which keeps long runs linear.
@@ -42,13 +49,18 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _AT = r"(?:[ ]?[\[(][ ]?at[ ]?[\])][ ]?|[ ]at[ ])"
 _DOT = r"(?:[ ]?[\[(][ ]?dot[ ]?[\])][ ]?|[ ]dot[ ]|\.)"
+#: (kind, shape, what must stand in the text) of the candidates. Every shape is linear in the text.
 _LOOSE = (
     (0, re.compile(rf"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{{1,64}}{_AT}[a-z0-9-]{{1,63}}{_DOT}[a-z]{{2,}}"), re.compile(r"(?i)\bdot\b|[\[(][ ]?at[ ]?[\])]")),
-    (1, re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])"), re.compile(r"[0-9A-Fa-f]:[0-9A-Fa-f]")),
-    (2, re.compile(r"(?<![0-9])[0-9]{4}(?:[ .-]?[0-9]{4}){2}[ .-]?[0-9]{3,4}(?![0-9])"), None),
-    (3, re.compile(r"(?<![0-9+(])(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9])00[1-9][0-9]{8,12}(?![0-9])"), None),
+    (1, re.compile(r"(?<![0-9A-Za-z.:])[0-9A-Fa-f]{0,4}(?:(?:::|:|\.)[0-9A-Fa-f]{1,4}){2,7}(?![0-9A-Za-z:])"), re.compile(r"[0-9A-Fa-f][.:][0-9A-Fa-f:]|::[0-9A-Fa-f]")),
+    (2, re.compile(r"(?<![0-9])[0-9](?:[ .-]?[0-9]){12,18}(?![0-9])"), re.compile(r"[0-9]{3}")),
+    (3, re.compile(r"(?<![0-9A-Za-z+(])[(]?[0-9]{2,5}(?:[ ().-]{1,2}[0-9]{2,5}){1,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z+])00[1-9][0-9]{8,12}(?![0-9A-Za-z])"), re.compile(r"[0-9]{2}[ ().-]{1,2}[0-9]{2}|00[1-9][0-9]{8}")),
+    (4, re.compile(r"(?<![0-9A-Za-z+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[0-9A-Za-z][0-9A-Za-z+/_=-]{7,}"), re.compile(r"[0-9]")),
 )
-_DIGITS = re.compile(r"[0-9]{3}")
+_LEAST_DIGITS = (0, 2, 13, 7, 1)
+_HEX = re.compile(r"[0-9a-f]{32,}|[0-9A-F]{32,}")
+_TOKEN = re.compile(r"\s*(?:[^\W_]+|[^\w\s]|_)")
+BITMAP_BITS = 26
 
 
 def _luhn(digits: str) -> bool:
@@ -85,28 +97,78 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of candidates that overlap nothing in ``taken`` and not one another."""
-    out: list[tuple[int, int, int]] = []
-    digits = _DIGITS.search(text)
+def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, bool]]:
+    """(start, kind, end, seed) of candidates that overlap nothing in ``taken``, which is sorted; they may overlap one another."""
+    out: list[tuple[int, int, int, bool]] = []
+    ends = sorted(z for _, _, z in taken)
+    starts = sorted(a for a, _, _ in taken)
     for kind, shape, hint in _LOOSE:
-        if (hint.search(text) if hint else digits) is None:
+        if hint.search(text) is None:
             continue
         for m in shape.finditer(text):
-            if not any(m.start() < z and a < m.end() for a, _, z in (*taken, *out)):
-                out.append((m.start(), kind, m.end()))
+            a, z = m.span()
+            if kind and sum(map(str.isdigit, m[0])) < _LEAST_DIGITS[kind]:
+                continue
+            if bisect_left(starts, z) == bisect_left(ends, a + 1):  # all that begin before its end end before its start
+                out.append((a, kind, z, kind == 4 and _HEX.fullmatch(m[0]) is not None))
     return sorted(out)
 
 
-def _cue(word: str) -> str:
-    return word.strip(".,:;=()[]<>\"'!?").lower()
+class _TokenHashes(dict):
+    """XXH64 of each token in lower case; forgotten when there are too many to hold."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= 1 << 20:
+            self.clear()
+        self[token] = found = xxhash.xxh64_intdigest(token.strip().lower())
+        return found
+
+
+_known = _TokenHashes()
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, ends) of the tokens of a whole text."""
+    raw = _TOKEN.findall(text)
+    ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+    starts = ends - np.fromiter((len(x.lstrip()) for x in raw), np.int64, len(raw))
+    return np.fromiter(map(_known.__getitem__, raw), np.uint64, len(raw)), starts, ends
+
+
+def _mixed(kind: int, *parts):
+    out = np.uint64(kind)
+    for p in parts:
+        out = (out ^ p) * _ODD
+        out = out ^ (out >> np.uint64(29))
+    return out
 
 
-def _patterns(text: str, start: int) -> tuple[str, str]:
-    """The word before ``start``, and the two words before it; empty where there are none."""
-    words = [_cue(w) for w in text[max(0, start - 160) : start].split()[-2:]]
-    one = words[-1] if words else ""
-    return one, (f"{words[0]} {one}" if len(words) == 2 and one and words[0] else "")
+def _all_patterns(h: np.ndarray) -> list[np.ndarray]:
+    """For each kind of pattern its hash at every place: one, two, three tokens, and the tokens around one place."""
+    return [_mixed(1, h), _mixed(2, h[:-1], h[1:]), _mixed(3, h[:-2], h[1:-1], h[2:]), _mixed(4, h[:-2], h[2:])]
+
+
+def _patterns(text: str, spans: list[tuple]) -> list[list[int]]:
+    """The hashes of the patterns that each span stands at."""
+    if not spans:
+        return []
+    h, starts, ends = _tokens(text)
+    out = []
+    with np.errstate(over="ignore"):
+        for a, _, z, *_ in spans:
+            i, j = int(np.searchsorted(ends, a, "right")) - 1, int(np.searchsorted(starts, z))
+            mine = []
+            if i >= 0 and not text[int(ends[i]) : a].strip():
+                mine.append(_mixed(1, h[i]))
+                if i >= 1:
+                    mine.append(_mixed(2, h[i - 1], h[i]))
+                if i >= 2:
+                    mine.append(_mixed(3, h[i - 2], h[i - 1], h[i]))
+                if j < len(h) and not text[z : int(starts[j])].strip():
+                    mine.append(_mixed(4, h[i], h[j]))
+            out.append([int(np.uint64(x).astype(np.int64)) for x in mine])
+    return out
 
 
 def _instance(text: str) -> int:
@@ -118,95 +180,107 @@ def join_spans(spans: list[tuple[int, int, int]]) -> str:
 
 
 _SPAN = "struct<start:int,kind:int,end:int>"
-_EDGE = "struct<kind:int,start:int,end:int,instance:bigint,seed:boolean,patterns:array<string>>"
+_EDGE = "struct<kind:int,start:int,end:int,instance:bigint,base:boolean,seed:boolean,patterns:array<bigint>>"
 
 
 def _extract(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    edge_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.int64()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.string()))]))
+    edge_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.int64()), ("base", pa.bool_()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.int64()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base, edges = [], []
-            for t in batch.column(1).to_pylist():
+            for t in batch.column(1):
+                t = t.as_py()
                 found = base_spans(t)
-                both = [(s, True) for s in found] + [(s, False) for s in loose_spans(t, found)]
+                both = [(*s, True, True) for s in found] + [(a, k, z, False, seed) for a, k, z, seed in loose_spans(t, found)]
                 base.append([{"start": a, "kind": k, "end": z} for a, k, z in found])
-                edges.append([{"kind": k, "start": a, "end": z, "instance": _instance(t[a:z]), "seed": seed, "patterns": [p for p in _patterns(t, a) if p]} for (a, k, z), seed in both])
+                edges.append([{"kind": k, "start": a, "end": z, "instance": _instance(t[a:z]), "base": own, "seed": seed, "patterns": p} for (a, k, z, own, seed), p in zip(both, _patterns(t, both))])
             digests = [hashlib.sha256(join_spans([(s["start"], s["kind"], s["end"]) for s in b]).encode()).hexdigest() for b in base]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string()), pa.array(base, span_type), pa.array(edges, edge_type)], ["doc_id", "base_sha256", "base", "edges"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, base_sha256 string, base array<{_SPAN}>, edges array<{_EDGE}>")
 
 
+def _marked(patterns: DataFrame) -> np.ndarray:
+    """A bitmap with the last ``BITMAP_BITS`` bits of every pattern."""
+    word = F.shiftright(F.col("pattern").bitwiseAND((1 << BITMAP_BITS) - 1), 6).alias("w")
+    found = patterns.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(pattern & 63 as int))")).alias("b")).toArrow()  # 1 << (BITMAP_BITS - 6) rows at most
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    out[found.column("w").to_numpy()] = found.column("b").to_numpy()
+    return out
+
+
 def _count_patterns(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """``pattern, total``: the places in all texts that stand behind a wanted pattern."""
-    few = wanted.count() <= BROADCAST_PATTERNS
-    names = frozenset(r[0] for r in wanted.collect()) if few else None  # at most BROADCAST_PATTERNS rows
-    seconds = frozenset(p.split(" ")[1] for p in names if " " in p) if few else None
-    shared = docs.sparkSession.sparkContext.broadcast((names, seconds))
+    """``pattern, total``: the places in all texts at which a wanted pattern stands."""
+    shared = docs.sparkSession.sparkContext.broadcast(_marked(wanted))  # 1 << BITMAP_BITS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, seconds = shared.value
+        bits = shared.value
         for batch in batches:
-            total: Counter = Counter()
+            held = []
             for t in batch.column(0):
-                raw = (t.as_py() or "").split()
-                cue = {w: _cue(w) for w in set(raw)}
-                if names is None:
-                    words = [cue[w] for w in raw]
-                    total.update(words)
-                    total.update(f"{a} {b}" for a, b in zip(words, words[1:]))
-                    continue
-                for w, n in Counter(raw).items():
-                    if cue[w] in names:
-                        total[cue[w]] += n
-                if any(c in seconds for c in cue.values()):
-                    pairs = (f"{cue[a]} {cue[b]}" for a, b in zip(raw, raw[1:]) if cue[b] in seconds)
-                    total.update(p for p in pairs if p in names)
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["pattern", "n"])
-
-    counted = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "pattern string, n long")
+                h = _tokens(t.as_py() or "")[0]
+                for p in _all_patterns(h):
+                    at = (p & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
+                    held.append(p[(bits[at >> 6] >> (at & 63)) & 1 == 1])
+            found, n = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["pattern", "n"])
+
+    counted = docs.select(F.col(text).cast("string")).mapInArrow(run, "pattern long, n long")
     return counted.groupBy("pattern").agg(F.sum("n").alias("total")).join(wanted, "pattern", "left_semi")
 
 
-def score_patterns(edges: DataFrame, totals: DataFrame, rounds: int = 3) -> DataFrame:
-    """``kind, pattern, confidence`` from ``kind, pattern, instance, seed, n`` and ``pattern, total``."""
+def score_patterns(edges: DataFrame, totals: DataFrame, min_seeds: int = 3, min_confidence: float = 0.5, rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(``kind, pattern, confidence`` of eligible patterns, ``kind, instance`` believed by a trusted one).
+
+    ``edges``: ``kind, pattern, instance, seed, n``; ``totals``: ``pattern, total``. Rounds end when as
+    many patterns are trusted as before, or after ``rounds``.
+    """
     edges = durable(edges.join(totals, "pattern"))
-    believed = edges.groupBy("kind", "instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    confidence = None
+    scores = durable(edges.groupBy("kind", "instance").agg(F.max("seed").cast("double").alias("score")))
+    before = None
     for _ in range(rounds):
         gain = F.sum(F.col("score") * F.col("n")) / F.greatest(F.first("total"), F.sum("n"))
-        confidence = durable(edges.join(believed, ["kind", "instance"]).groupBy("kind", "pattern").agg(gain.alias("confidence")))
-        trust = F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))))
-        believed = edges.join(confidence, ["kind", "pattern"]).groupBy("kind", "instance").agg(trust.alias("score"))
-    return confidence
-
-
-def extract(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_seeds: int = 3, min_confidence: float = 0.5, rounds: int = 3) -> DataFrame:
+        believed = F.count(F.when(F.col("score") >= min_confidence, 1))
+        found = edges.join(scores, ["kind", "instance"]).groupBy("kind", "pattern").agg(gain.alias("confidence"), believed.alias("_n"))
+        confidence = durable(found.where(F.col("_n") >= min_seeds).drop("_n"))
+        doubt = F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999))))
+        behind = edges.join(confidence, ["kind", "pattern"], "left").groupBy("kind", "instance")
+        scores = durable(behind.agg(F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(doubt)).alias("score"), F.max("confidence").alias("best")))
+        state = tuple(confidence.agg(F.count(F.when(F.col("confidence") >= min_confidence, 1)), F.count("*")).first())
+        if state == before:
+            break
+        before = state
+    return confidence, scores.where(F.col("best") >= min_confidence).select("kind", "instance")
+
+
+def extract(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_seeds: int = 3, min_confidence: float = 0.5, rounds: int = 8) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added``: base counts and all spans."""
     found = durable(_extract(docs, key, text).withColumn("_rid", F.monotonically_increasing_id()))
-    spread = found.select("_rid", F.explode("edges").alias("e")).select("_rid", "e.*").withColumn("pattern", F.explode("patterns"))
-    edges = spread.groupBy("kind", "pattern", "instance", "seed").agg(F.count("*").alias("n"))
-    eligible = edges.groupBy("kind", "pattern").agg(
-        F.count(F.when(F.col("seed"), 1)).alias("seeds"), F.count(F.when(~F.col("seed"), 1)).alias("candidates")
-    )
-    eligible = durable(eligible.where((F.col("seeds") >= min_seeds) & (F.col("candidates") > 0)).select("kind", "pattern"))
+    spread = found.select("_rid", F.explode("edges").alias("e")).select("_rid", "e.*")
+    edges = spread.withColumn("pattern", F.explode("patterns")).groupBy("kind", "pattern", "instance").agg(F.max("seed").alias("seed"), F.max("base").alias("base"), F.count("*").alias("n"))
+    # No pattern with fewer instances, or with nothing to add behind it and nothing to learn from, can matter.
+    able = edges.groupBy("kind", "pattern").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_seeds).select("kind", "pattern")
+    edges = durable(edges.join(able, ["kind", "pattern"], "left_semi"))
     label = F.array(*[F.lit(k) for k in KINDS])
-    if eligible.isEmpty():
-        spans = F.col("base")
-        joined = found
-    else:
-        totals = durable(_count_patterns(docs, text, eligible.select("pattern").distinct()))
-        scored = score_patterns(edges.join(eligible, ["kind", "pattern"], "left_semi"), totals, rounds)
-        trusted = scored.where(F.col("confidence") >= min_confidence).select("kind", "pattern")
-        new = spread.where(~F.col("seed")).join(trusted, ["kind", "pattern"], "left_semi")
-        added = new.groupBy("_rid").agg(F.collect_set(F.struct("start", "kind", "end")).alias("added"))
-        joined = found.join(added, "_rid", "left")
-        spans = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(f"array<{_SPAN}>"))))
+    spans, joined = F.col("base"), found
+    if not edges.where("not base").isEmpty():
+        totals = durable(_count_patterns(docs, text, edges.select("pattern").distinct()))
+        _, believed = score_patterns(edges.drop("base"), totals, min_seeds, min_confidence, rounds)
+        new = spread.where("not base").join(believed, ["kind", "instance"], "left_semi")
+        ordered = F.array_sort(F.collect_set(F.struct("start", (-F.col("end")).alias("minus"), "kind")))
+        none = F.array().cast(f"array<{_SPAN}>")
+        step = lambda held, s: F.when(
+            (F.size(held) == 0) | (F.element_at(held, -1)["end"] <= s["start"]),
+            F.concat(held, F.array(F.struct(s["start"].alias("start"), s["kind"].alias("kind"), (-s["minus"]).alias("end")))),
+        ).otherwise(held)
+        chosen = new.groupBy("_rid").agg(ordered.alias("_all")).select("_rid", F.aggregate("_all", none, step).alias("added"))
+        joined = found.join(chosen, "_rid", "left")
+        spans = F.array_sort(F.concat("base", F.coalesce("added", none)))
     named = F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(label, s["kind"]), s["start"], s["end"])), ",")
     kinds = F.transform("base", lambda s: s["kind"])
-    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, F.lit(i)))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, F.lit(i)))).cast("long").alias(f"n_{k}") for i, k in enumerate(BASE)]
     return joined.select("doc_id", *counts, "base_sha256", named.alias("spans"), (F.size(spans) - F.size("base")).cast("long").alias("n_added"))
