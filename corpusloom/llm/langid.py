@@ -5,8 +5,9 @@ as a blank), square-rooted and scaled to length one. Linear support vector machi
 one against the rest) choose the language family; in a family with several languages one machine for
 every pair of them votes. Machines are fitted in numpy on the driver from a bounded sample.
 
-``per_language`` bounds the fit: about that many rows of each language, those with the smallest seeded
-hash of the id, are read; all other steps cover every row and the whole text.
+``per_language`` and ``most_languages`` bound the fit: about that many rows of each language, those with
+the smallest seeded hash of id and text, are read, of the languages with the most rows; all other steps
+cover every row and the whole text.
 
 The score is the product of the logistic of the family's margin and the mean logistic of the winning
 language's margins.
@@ -47,7 +48,7 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 BUCKETS = (512, 1536, 2048)
 DIM = sum(BUCKETS)
 _PIECE = 1 << 20
-_IS_LETTER = np.array([chr(i).isalpha() for i in range(0x10000)])
+_IS_LETTER = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
 def features(text: str | None) -> np.ndarray | None:
@@ -58,7 +59,7 @@ def features(text: str | None) -> np.ndarray | None:
     lower, letters = text.lower(), 0
     for low in range(0, len(lower), _PIECE):  # pieces overlap by the two characters an n-gram can reach over
         c = np.frombuffer(lower[max(0, low - 2) : low + _PIECE].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        letter = _IS_LETTER[np.minimum(c, 0xFFFF)] | ((c > 0xFFFF) & (c < 0x1F000)) | (c >= 0x20000)
+        letter = _IS_LETTER[c.astype(np.int64)]
         letters += int(letter.sum())
         c = np.where(letter, c, 32)
         new = min(2, low)
@@ -135,14 +136,16 @@ def _feature_rows(docs: DataFrame, columns: str) -> DataFrame:
     return docs.mapInArrow(run, columns)
 
 
-def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", modulus: int = 5, held_out: int = 0, per_language: int = 500, seed: int = 5) -> LanguageModel | None:
-    """Fit on about ``per_language`` rows of each language outside the held-out remainder."""
+def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", modulus: int = 5, held_out: int = 0, per_language: int = 500, most_languages: int = 256, seed: int = 5) -> LanguageModel | None:
+    """Fit on about ``per_language`` rows of each of the ``most_languages`` largest languages, outside the held-out remainder."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.crc32(F.col(key).cast("string").cast("binary")) % modulus != held_out))
-    sizes = {r[lang]: r["n"] for r in known.groupBy(lang).agg(F.count("*").alias("n")).collect()}  # a row per language
+    largest = known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
+    sizes = {r["lang"]: r["n"] for r in largest.collect()}
     if not sizes:
         return None
     limit = F.create_map(*[v for name, n in sizes.items() for v in (F.lit(name), F.lit(int(min(1.0, per_language / n) * (1 << 60))))])
-    taken = known.where(seeded_hash(seed, F.col(key)) <= limit[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    own = seeded_hash(seed, F.concat_ws(":", F.col(key).cast("string"), F.md5(text)))
+    taken = known.where(own <= limit[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = _feature_rows(taken, "lang string, x binary").where("x is not null").collect()  # bounded by per_language
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     if not rows:
