@@ -1,6 +1,7 @@
 """Mixing sources to target weights with hash-threshold histograms, in DataFrame functions only.
 
-Every document has a fixed seeded hash. Tokens are summed by source and hash bucket, the bucket that
+Every row has a fixed seeded hash of its id, text and source, and of its number among rows that agree in
+all three, so not even a row that is repeated very often is taken or left as one. Tokens are summed by source and hash bucket, the bucket that
 holds a source's budget is found by a running sum over at most 4096 buckets, and only its rows are
 summed again over 4096 finer buckets and then over single hashes. The result is one hash threshold a
 source, so documents are chosen by a filter, without a sort, and a rerun chooses the same ones.
@@ -11,7 +12,7 @@ tokens; what is above the cap is shared again by weight. A target above a source
 every document once and the documents under the threshold once more.
 
 Defined cases: a null source is the last source; a null or blank text has size 0 and changes nothing;
-rows with one doc_id share a hash and are taken together; an empty table gives no rows. The threshold
+rows that repeat an id or a whole row are taken or left one by one; an empty table gives no rows. The threshold
 is the one whose taken tokens come nearest to the target, the smaller on a tie.
 """
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, seeded_hash, stratum_key, word_count
+from .common import durable, repeated_rows, row_hash, same_row, stratum_key, word_count
 
 BUCKETS = 4096
 #: Sources up to which the table of thresholds (a row of about 60 bytes each) is broadcast.
@@ -28,13 +29,10 @@ BROADCAST_SOURCES = 50_000
 SALTS = 64
 
 
-def _skeleton(docs: DataFrame, key: str, text: str, source: str, seed: int) -> DataFrame:
-    return docs.select(
-        F.col(key).alias("doc_id"),
-        stratum_key(F.col(source)).alias("_s"),
-        word_count(F.col(text)).alias("size"),
-        seeded_hash(seed, F.col(key)).alias("_h"),
-    )
+def _skeleton(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
+    names = ("_same_id", "_same_text", "_same_source")
+    same = same_row(F.col(key), F.col(text), stratum_key(F.col(source)))
+    return docs.select(F.col(key).alias("doc_id"), stratum_key(F.col(source)).alias("_s"), word_count(F.col(text)).alias("size"), *[c.alias(n) for c, n in zip(same, names)])
 
 
 def source_targets(base: DataFrame, weights: tuple[int, ...], budget: float, cap: float) -> DataFrame:
@@ -77,9 +75,12 @@ def mixing_plan(
     budget: float = 1.5,
     cap: float = 2.0,
     seed: int = 11,
-) -> tuple[DataFrame, DataFrame, int]:
-    """(rows with size and hash, a threshold row per source, number of sources)."""
-    base = durable(_skeleton(docs, key, text, source, seed))
+) -> tuple[DataFrame, DataFrame, int, DataFrame | None]:
+    """(rows with size and hash, a threshold row per source, number of sources, the keys of repeated rows)."""
+    rows = durable(_skeleton(docs, key, text, source))
+    same = (F.col("_same_id"), F.col("_same_text"), F.col("_same_source"))
+    often = repeated_rows(rows, same)
+    base = durable(row_hash(rows, seed, same, often).select("doc_id", "_s", "size", "_h"))
     targets = durable(source_targets(base, weights, budget, cap))
     sources = targets.count()
     whole = F.col("target") >= F.col("source_size")
@@ -103,7 +104,7 @@ def mixing_plan(
     edge3 = _boundary(last, "_h").select("_s", F.when(over < under, F.col("_h")).otherwise(F.col("_h") - 1).alias("_limit"))
 
     plan = plan.join(edge3, "_s", "left").withColumn("_limit", F.coalesce("_limit", F.lit(-1).cast("long")))
-    return base, durable(plan.select("_s", "source_size", "target", "_whole", "_limit")), sources
+    return base, durable(plan.select("_s", "source_size", "target", "_whole", "_limit")), sources, often
 
 
 def _with_plan(rows: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
@@ -117,19 +118,18 @@ def _with_plan(rows: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, size, source_size, target, copies, taken`` for every row."""
-    base, plan, sources = mixing_plan(docs, **options)
+    base, plan, sources, _ = mixing_plan(docs, **options)
     out = _with_plan(base, plan, sources)
     return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``; one taken twice is there twice."""
-    _, plan, sources = mixing_plan(docs, **options)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(
-        F.struct(*columns).alias("_row"),
-        stratum_key(F.col(options.get("source", "source"))).alias("_s"),
-        seeded_hash(options.get("seed", 11), F.col(options.get("key", "doc_id"))).alias("_h"),
-    )
+    _, plan, sources, often = mixing_plan(docs, **options)
+    key, text, source = (F.col(options.get(k, k2)) for k, k2 in (("key", "doc_id"), ("text", "text"), ("source", "source")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    same = same_row(key, text, stratum_key(source))
+    rows = docs.select(whole.alias("_row"), stratum_key(source).alias("_s"), *[c.alias(f"_same{i}") for i, c in enumerate(same)])
+    keyed = row_hash(rows, options.get("seed", 11), tuple(F.col(f"_same{i}") for i in range(3)), often)
     taken = _with_plan(keyed, plan, sources).where("copies > 0")
     return taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).select("_row.*")

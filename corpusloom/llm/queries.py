@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, jpeg, langid, linedup, mixing, pii, quality, shards, simhash, topk
@@ -21,10 +21,15 @@ def op1_proportional_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held_out(modulus: int, remainder: int) -> Column:
+    """False for a null id, which is never learnt from either."""
+    same = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+    return F.coalesce(same, F.lit(False)).alias("held_out")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return found.select("doc_id", _held_out(4, 2), "score", "predicted")
 
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,8 +43,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(read_table(spark, sf_dir, "documents"))
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", _held_out(5, 0), "lang_pred", "score")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,13 +135,16 @@ base as (
   select doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 as size,
          xor(list_reduce(list_concat([4294967295::bigint], [('0x' || b)::bigint for b in regexp_extract_all(hex(encode(coalesce(text, ''))), '..')]),
                          lambda c, x: xor(c >> 8, t.t[(xor(c, x) & 255) + 1])), 4294967295) as text_crc32,
-         ('0x' || substr(md5('7:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as h
+         coalesce(doc_id::varchar, '') || ':' || coalesce(md5(text), '') || ':' || coalesce('0' || source, '1') as k
   from documents, crc_table t
 ),
+hashed as (
+  select *, ('0x' || substr(md5('7:' || md5(k) || ':' || (row_number() over (partition by k) - 1)), 1, 15))::bigint as h from base
+),
 ranked as (
   select *, count(*) over (partition by source) as n,
          row_number() over (partition by source order by h, doc_id nulls first, text_crc32, size) as r
-  from base
+  from hashed
 ),
 placed as (
   select *, row_number() over (order by (2 * r - 1)::double / (2 * n)::double, source nulls last, r) - 1 as pos, count(*) over () as total
@@ -164,11 +171,14 @@ from scored qualify row_number() over (partition by query_id order by score desc
 """
 
 OP7_SQL = """
-with base as (
+with keyed as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
-         ('0x' || substr(md5('11:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as h
+         coalesce(doc_id::varchar, '') || ':' || coalesce(md5(text), '') || ':' || coalesce('0' || source, '1') as k
   from documents
 ),
+base as (
+  select *, ('0x' || substr(md5('11:' || md5(k) || ':' || (row_number() over (partition by k) - 1)), 1, 15))::bigint as h from keyed
+),
 src as (select source, sum(size)::bigint as source_size from base group by source),
 weighed as (
   select *, [3.0::double, 1.0::double, 2.0::double][1 + (row_number() over (order by source nulls last) - 1) % 3] as w,
