@@ -19,8 +19,9 @@ logarithm of its number of lines.
 The first copy of every line always stays: what is deleted at one place stands at an earlier one.
 
 Defined cases: null texts stay null and take no part; a text whose lines all go becomes empty; blank
-lines count as lines without words; rows that repeat both doc_id and text are one document and are
-edited alike; a null doc_id comes before all others; an empty table gives no rows.
+lines count as lines without words; rows that repeat both doc_id and text stand one behind the other, so
+all of a later one is a later copy: it loses every line if it has ``min_words`` words; which of them is the
+first is open; a null doc_id comes before all others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -100,7 +101,10 @@ def _double(ranks: DataFrame, level: int) -> DataFrame:
 
 
 def deleted_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
-    """``doc_id, th, lines``: the numbers (from 0) of the lines to delete, for documents that lose any."""
+    """``doc_id, th, lines``: the numbers (from 0) of the lines to delete, for documents that lose any.
+
+    Rows that repeat doc_id and text are one document here.
+    """
     rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).cast("string").alias("text"))
     if not rows.groupBy(*DOC).count().where("count > 1").isEmpty():
         rows = rows.dropDuplicates(DOC)
@@ -122,19 +126,35 @@ def deleted_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", m
     return covered.groupBy(*DOC).agg(F.collect_set("ln").alias("lines"))
 
 
+def _numbered(rows: DataFrame, min_words: int) -> DataFrame:
+    """``rows`` with ``_again``: a row of equal id and text stands before it, and it has enough words to lose."""
+    often = rows.where("_text is not null").groupBy("_key", "_hash").agg(F.count("*").alias("_n")).where("_n > 1")
+    often = durable(often.select(F.col("_key").alias("_k"), F.col("_hash").alias("_h")))
+    if often.isEmpty():
+        return rows.withColumn("_again", F.lit(False))
+    same = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h"))
+    many = durable(rows.join(often, same, "left_semi").withColumn("_place", F.monotonically_increasing_id()))
+    first = many.groupBy("_key", "_hash").agg(F.min("_place").alias("_first")).select("_first")
+    # Joined by place, so a row that is repeated very often is no frequent key.
+    placed = many.join(first, F.col("_place") == F.col("_first"), "left")
+    again = F.col("_first").isNull() & (word_count(F.col("_text")) >= min_words)
+    return rows.join(often, same, "left_anti").withColumn("_again", F.lit(False)).unionByName(placed.withColumn("_again", again).drop("_place", "_first"))
+
+
 def _edited(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """``_row`` (the input row), ``_text`` (edited), ``_lines`` and ``_deleted`` (their numbers)."""
     gone = durable(deleted_lines(docs, key=key, text=text, min_words=min_words)).toDF("_id", "_th", "_gone")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
-    joined = rows.join(gone, F.col("_key").eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_th")), "left")
+    rows = _numbered(rows.withColumn("_hash", F.xxhash64("_text")), min_words)
+    joined = rows.join(gone, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left")
     lines = F.split("_text", "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
     return joined.select(
         "_row",
-        F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(kept).alias("_text"),
+        F.when(F.col("_again"), "").when(F.col("_gone").isNull(), F.col("_text")).otherwise(kept).alias("_text"),
         F.when(F.col("_text").isNull(), 0).otherwise(F.size(lines)).alias("_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("_deleted"),
+        F.when(F.col("_again"), F.size(lines)).when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("_deleted"),
     )
 
 
