@@ -36,8 +36,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 8 << 20
-#: Distinct words that an encoding task remembers; beyond them a word may be encoded again.
-REMEMBERED = 300_000
 #: Ids that are decoded together.
 DECODED = 1 << 18
 #: Unicode White_Space, the tokenizer pattern's \\s. Fixed values.
@@ -178,13 +176,13 @@ def _answer(path: str):
     """Each distinct word of a part is encoded once; each block gets its words' ids in its own order."""
 
     def run(batches):
-        codec, known = Codec.of(path), {}
+        codec, known, last = Codec.of(path), {}, None
         for batch in batches:
             for block, part, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != last:  # rows come sorted by part
+                    known, last = {}, part
                 words = _unpack_words(blob)
                 new = [w for w in words if w not in known]
-                if len(known) + len(new) > REMEMBERED:
-                    known, new = {}, words
                 known.update(zip(new, codec.encode_words(new)))
                 ids = [known[w] for w in words]
                 lengths = np.array([len(x) // 4 for x in ids], np.uint32)
@@ -270,7 +268,7 @@ def encode(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text: str =
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shape = "block string, part int, blob binary"
     words = rows.mapInArrow(_list_words(vocabulary, parts, block_bytes), shape)
-    answers = words.repartition(parts, "part").mapInArrow(_answer(vocabulary), shape)
+    answers = words.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_answer(vocabulary), shape)
     texts = rows.mapInArrow(_pack_texts(block_bytes), shape)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}", *(f"{o} {_TYPES[o]}" for o in outputs)])
