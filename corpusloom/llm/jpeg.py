@@ -418,9 +418,14 @@ def digests(media: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             streams = batch.column(2).to_pylist()
-            rows = []
-            for i in range(0, len(streams), 512):
-                rows += [(payload(f), feature(f)) for f in read(streams[i : i + 512])]
+            rows, held, used = [], [], 0
+            for stream in streams:
+                held.append(stream)
+                used += len(stream)
+                if used >= CHUNK:
+                    rows += [(payload(f), feature(f)) for f in read(held)]
+                    held, used = [], 0
+            rows += [(payload(f), feature(f)) for f in read(held)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0),
                 batch.column(1),
