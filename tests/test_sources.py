@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import sys
+import types
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +140,26 @@ def test_sinks(spark, tmp_path):
     assert sinks.result_rows(results).first().file.endswith(".json")
     with pytest.raises(Exception):
         sinks.section_texts(results, "method").select("nope").collect()
+
+
+def test_pdf_backends_are_assembled(monkeypatch):
+    """With stand-ins for the two libraries, which are not installed here; the real ones are untested."""
+
+    class Opened(list):
+        metadata = {"title": "A title", "producer": None}
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *error: None
+        pages = property(lambda self: self)
+
+    span = lambda t: {"text": t}
+    blocks = [{"type": 0, "bbox": (0, 1, 2, 3), "lines": [{"spans": [span("A"), span("head")]}, {"spans": [span("line")]}]}, {"type": 1, "bbox": (4, 5, 6, 7), "size": 9}]
+    page = types.SimpleNamespace(get_text=lambda kind="text": {"blocks": blocks} if kind == "dict" else "A head line", extract_text=lambda: None, extract_tables=lambda: [[["a", "b"]]])
+    asked = []
+    monkeypatch.setitem(sys.modules, "fitz", types.SimpleNamespace(open=lambda stream, filetype: asked.append((stream, filetype)) or Opened([page, page])))
+    monkeypatch.setitem(sys.modules, "pdfplumber", types.SimpleNamespace(open=lambda f: asked.append(f.read()) or Opened([page])))
+    first = pdf._mupdf(b"%PDF")
+    assert [p["page_num"] for p in first["pages"]] == [1, 2] and first["metadata"] == {"title": "A title"}
+    assert first["pages"][0]["blocks"] == [{"type": "text", "bbox": [0, 1, 2, 3], "text": "A head\nline", "size": None}, {"type": "image", "bbox": [4, 5, 6, 7], "text": None, "size": 9}]
+    second = pdf._plumber(b"%PDF")
+    assert second["pages"] == [{"page_num": 1, "text": "", "blocks": [], "tables": [[["a", "b"]]], "images": []}] and second["metadata"]["title"] == "A title"
+    assert asked == [(b"%PDF", "pdf"), b"%PDF"]
