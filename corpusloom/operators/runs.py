@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
@@ -20,15 +20,26 @@ from .ranking import first_successes, global_rank, legacy_venue, outcome_counts,
 from .resolution import enrich
 
 
-def discover(tasks: DataFrame, progress: DataFrame, recorded: DataFrame, cache: DataFrame, publications: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+#: Candidates that are collected for each success a limited run is to have. Fixed value.
+CANDIDATES_PER_SUCCESS = 10
+
+
+def discover(tasks: DataFrame, progress: DataFrame, recorded: DataFrame, cache: DataFrame, publications: DataFrame | None = None, stop_after: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(ranked unique candidates, keys of the tasks that are now done).
 
     ``recorded`` holds the candidates each task brought (``key``, ``seq`` inside the task); ``cache`` the
-    rows of earlier runs with ``seq``. Tasks already done bring nothing; cached rows come first.
+    rows of earlier runs with ``seq``. Tasks already done bring nothing; cached rows come first. With ``stop_after`` successes to come, tasks
+    run in their order only until the rows held, copies included, are ``CANDIDATES_PER_SUCCESS`` times as many.
     """
     pending = pending_tasks(tasks, progress)
     columns = list(CANDIDATE_COLUMNS)
     brought = recorded.join(pending.select("key", "pos"), "key")
+    if stop_after is not None:
+        held = cache.count()
+        sizes = brought.groupBy("pos").agg(F.count("*").alias("_n"))
+        # A row for each task of the fixed grid.
+        before = sizes.select("pos", (F.sum("_n").over(Window.orderBy("pos")) - F.col("_n") + held).alias("_before"))
+        brought = brought.join(before.where(F.col("_before") < CANDIDATES_PER_SUCCESS * stop_after), "pos", "left_semi")
     old = cache.select(F.lit(-1).cast("long").alias("_pos"), F.col("seq").alias("_seq"), *columns)
     new = brought.select(F.col("pos").cast("long").alias("_pos"), F.col("seq").alias("_seq"), *columns)
     rows = global_rank(old.unionByName(new), [F.asc("_pos"), F.asc("_seq")], "seq").drop("_pos", "_seq")
