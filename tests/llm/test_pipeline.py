@@ -5,9 +5,35 @@ from corpusloom.llm import bpe, linedup, mixing, quality, simhash
 from corpusloom.llm.common import read_table
 from corpusloom.llm.queries import VOCABULARY
 
+from .data import docs, empty, rows
+
 SF = "/root/testdata/sf0.001"
 
 
+def stored(spark, tmp_path, frame, labels):
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_awkward_rows_pass_every_stage(spark, tmp_path):
+    """Null and empty texts, null and repeated ids, repeated rows, a very long text, clashing column names."""
+    where = stored(spark, tmp_path, docs(spark), [(i, 1, 0) for i in range(0, 60, 2)] + [(None, 0, 0)])
+    seen = read_table(spark, where, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        seen = stage(spark, seen, where)
+        assert seen.columns == docs(spark).columns and seen.dtypes == docs(spark).dtypes, name
+    got = corpus_pipeline.run(spark, where)
+    assert {r.doc_id for r in got.collect()} <= {r[0] for r in rows()} and got.where("n_tokens is null or ids_sha256 is null").isEmpty()
+    # With labels of one class nothing is rejected, so what is left of a null text is one empty document at most.
+    assert got.where("n_tokens = 0").select("doc_id").distinct().count() <= 1 and not got.isEmpty()
+
+
+def test_an_empty_table_passes_every_stage(spark, tmp_path):
+    where = stored(spark, tmp_path, empty(spark), [])
+    assert corpus_pipeline.run(spark, where).count() == 0
+
+
 def test_stages_are_the_operators_in_order(spark):
     docs = read_table(spark, SF, "documents")
     columns = docs.columns

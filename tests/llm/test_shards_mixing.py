@@ -44,6 +44,31 @@ def test_written_shards_hold_whole_rows(spark, tmp_path):
     shards.write_shards(docs(spark), str(tmp_path / "s"), 4)
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == len(rows()) and back.select("shard").distinct().count() == 4
+    assert back.select("row.*").schema == docs(spark).schema
+    key = lambda r: (str(r.doc_id), str(r.text))
+    assert sorted(map(key, back.select("row.*").collect())) == sorted(map(key, docs(spark).collect()))
+    assert sorted((r.shard, r.slot) for r in back.collect()) == sorted((r.shard, r.slot) for r in shards.assign_shards(docs(spark), 4).collect())
+
+
+def repeated(spark):
+    """A row that stands 150 times, one text under 150 null ids, and 150 others, in one source."""
+    hot = [(7, "one hot row of eight words in all", "en", "s0")] * 150 + [(None, "no id at all but the same text", "en", "s0")] * 150
+    return spark.createDataFrame(hot + [(1000 + i, "word " * (1 + i % 9), "de", "s0" if i % 2 else None) for i in range(150)], "doc_id long, text string, lang string, source string").repartition(6)
+
+
+def test_rows_that_repeat_are_dealt_one_by_one(spark):
+    got = shards.assign_shards(repeated(spark), 8).collect()
+    for i in (7, None):
+        held = collections.Counter(r.shard for r in got if r.doc_id == i)
+        assert len(held) == 8 and max(held.values()) < 40
+    mixed = mixing.mix(repeated(spark), budget=0.6).collect()
+    for s in {r.source_size for r in mixed}:
+        taken, target = sum(r.taken for r in mixed if r.source_size == s), next(r.target for r in mixed if r.source_size == s)
+        assert abs(taken - target) <= 9
+    copies = sorted((str(r.doc_id), r["size"], r.taken) for r in mixed)
+    assert copies == sorted((str(r.doc_id), r["size"], r.taken) for r in mixing.mix(repeated(spark).coalesce(1), budget=0.6).collect())
+    documents = mixing.mix_documents(repeated(spark), budget=0.6)
+    assert documents.count() == sum(r.copies for r in mixed) and documents.where("doc_id = 7").count() == sum(r.copies for r in mixed if r.doc_id == 7)
 
 
 def targets(sizes: dict, weights=(3, 1, 2), budget=1.5, cap=2.0) -> dict:
