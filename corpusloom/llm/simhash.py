@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from .common import durable
 from .graph import connected_components
-from .shingles import near_copies
+from .shingles import majority, near_copies, prefixes
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Runs up to this many fingerprints emit all verified pairs; blocks of longer runs have this many.
 SHORT_RUN, BLOCK = 64, 1024
-_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)).reshape(256, 8).astype(np.int64)
+#: Distinct fingerprints from which longer keys cost less; tasks over which the rows of one component are dealt.
+MANY, SALTS = 200_000_000, 16
 
 
 def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
@@ -50,16 +51,7 @@ def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
     n = max(1, len(words) - words_per_shingle + 1)
     first, last = starts[:n].tolist(), (ends[-n:] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
-    for low in range(0, n, 1 << 16):
-        high = min(n, low + (1 << 16))
-        hashes = np.fromiter([digest(joined[a:b], 42) for a, b in zip(first[low:high], last[low:high])], ">u8", high - low)
-        if high - low < 512:
-            ones += np.unpackbits(hashes.view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-        else:  # a histogram of each of the 8 bytes gives the same sums
-            column = hashes.view(np.uint8).reshape(-1, 8)
-            ones += np.concatenate([np.bincount(column[:, i], minlength=256) @ _BITS for i in range(8)])
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+    return majority(np.fromiter((digest(joined[a:b], 42) for a, b in zip(first, last)), np.uint64, n))
 
 
 def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words_per_shingle: int = 4) -> DataFrame:
@@ -179,51 +171,72 @@ def _block_pairs(max_bits: int):
 
 def links(fps: DataFrame, max_bits: int = 4, segments: int = 3, width: int = 1) -> DataFrame:
     """``u, v``: linked distinct fingerprints whose components are those of all links."""
-    spread = _candidates(fps.select("fp").distinct(), key_masks(max_bits, segments, width))
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = fps.select("fp").distinct().repartition(parts)  # few bytes, but many keys each
+    spread = _candidates(distinct, key_masks(max_bits, segments, width))
     beside = spread.repartition("tag", "val").sortWithinPartitions("tag", "val")
     found = durable(beside.mapInArrow(_compare(max_bits), "u long, v long, todo binary"))
     blocks = found.where("todo is not null").select("todo")
     if not blocks.isEmpty():
-        parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         more = blocks.repartition(parts).mapInArrow(_block_pairs(max_bits), "u long, v long")
         return found.where("todo is null").select("u", "v").unionByName(more)
     return found.select("u", "v")
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words_per_shingle: int = 4, max_bits: int = 4, segments: int = 3, width: int = 1) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words_per_shingle: int = 4, max_bits: int = 4, segments: int | None = None, width: int = 1) -> DataFrame:
     """``doc_id, text_hash, fp, component_id``: the component's smallest doc_id, itself included.
 
     ``segments=3, width=1`` indexes 67 keys of at least 20 bits; ``segments=5, width=2`` indexes 266
-    keys of at least 24 bits and suits some hundred million distinct fingerprints and more. Both are exact.
+    keys of at least 24 bits, which costs less beyond ``MANY`` distinct fingerprints. Both are exact; without
+    ``segments`` their number chooses.
     """
     rows = durable(fingerprints(docs, key=key, text=text, words_per_shingle=words_per_shingle))
-    firsts = rows.groupBy("fp").agg(F.min("doc_id").alias("_first"))
-    roots = connected_components(links(rows, max_bits, segments, width)).withColumnRenamed("node", "fp")
-    grouped = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = grouped.groupBy("root").agg(F.min("_first").alias("component_id"))
-    classes = grouped.join(least, "root").select("fp", "component_id")
+    firsts = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("component_id")))
+    if segments is None:
+        segments, width = (3, 1) if firsts.count() < MANY else (5, 2)
+    roots = durable(connected_components(links(firsts, max_bits, segments, width)).withColumnRenamed("node", "fp"))
+    # A component may hold very many fingerprints: its least id goes to SALTS tasks.
+    linked = firsts.join(roots, "fp").withColumn("_salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
+    least = linked.groupBy("root").agg(F.min("component_id").alias("component_id"))
+    least = least.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    classes = linked.select("fp", "root", "_salt").join(least, ["root", "_salt"]).select("fp", "component_id")
+    classes = classes.unionByName(firsts.join(roots, "fp", "left_anti"))
     return rows.join(classes, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words_per_shingle: int = 5, least: float = 0.8) -> DataFrame:
+def _node_pairs(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``u, v``: nodes of linked fingerprints, and of equal ones, joined through the least node of a fingerprint."""
+    firsts = durable(rows.groupBy("fp").agg(F.min("node").alias("first")))
+    edges = links(rows, max_bits)
+    for side in "uv":
+        edges = edges.join(firsts.toDF(side, side + "n"), side)
+    same = rows.select("fp", "node").distinct().join(firsts, "fp").where("node <> first")
+    return edges.select(F.col("un").alias("u"), F.col("vn").alias("v")).unionByName(same.select(F.col("first").alias("u"), F.col("node").alias("v")))
+
+
+def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words_per_shingle: int = 5, max_bits: int = 4, least: float = 0.8) -> DataFrame:
     """One document of each group: the least by doc_id, null last, and text hash, every column kept.
 
-    Groups are those of ``shingles.near_copies``: shingle sets of a Jaccard similarity of ``least`` or more.
-    At 0.8 fingerprints lie some ten bits apart and more, too far for segment keys that miss nothing.
-    Rows that repeat both doc_id and text count as one document, of which one row stays.
+    Texts link if the Jaccard similarity of their shingle sets is ``least`` or more. Candidates are the
+    links of the fingerprints, found by deletion variants, and, as two texts of similarity 0.8 lie some ten
+    bits apart, which no selective segment survives, also those of the exact prefix filter in ``shingles``.
+    All are verified on the sets. Rows that repeat both doc_id and text count as one document, of which
+    one row stays.
     """
-    rows = durable(near_copies(docs, key=key, text=text, words_per_shingle=words_per_shingle, least=least))
+    rows = durable(prefixes(docs, key, text, words_per_shingle, least))
+    roots = near_copies(rows, docs, _node_pairs(rows, max_bits), key=key, text=text, words=words_per_shingle, least=least)
+    rows = rows.select("doc_id", "text_hash", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ids = rows.groupBy(F.col("doc_id").alias("_key"), F.col("text_hash").alias("_th"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     firsts = rows.groupBy("root").agg(F.min(order).alias("first"))
-    classes = rows.join(firsts, "root").where(F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.hash")))
-    kept = durable(classes.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_n")))
+    kept = durable(firsts.select(F.col("first.id").alias("_id"), F.col("first.hash").alias("_hash")))
     own = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*own).alias("_row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_th"))
     same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_hash"))
-    single = rows.join(kept.where("_n = 1"), same, "left_semi").select("_row.*")
-    repeated = kept.where("_n > 1")
+    repeated = durable(kept.join(ids.count().where("count > 1"), same, "left_semi"))
     if repeated.isEmpty():
-        return single
+        return rows.join(kept, same, "left_semi").select("_row.*")
+    single = rows.join(kept.exceptAll(repeated), same, "left_semi")
     first = Window.partitionBy("_key", "_th").orderBy(F.to_json("_row"))
     again = rows.join(repeated, same, "left_semi").withColumn("_i", F.row_number().over(first)).where("_i = 1")
-    return single.unionByName(again.select("_row.*"))
+    return single.select("_row.*").unionByName(again.select("_row.*"))
