@@ -58,6 +58,8 @@ _LOOSE = (
     (4, re.compile(r"(?<![0-9A-Za-z+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[0-9A-Za-z][0-9A-Za-z+/_=-]{7,}"), re.compile(r"[0-9]")),
 )
 _LEAST_DIGITS = (0, 2, 13, 7, 1)
+#: One of these stands in every spelled address; without a digit there is no other candidate.
+_SPELLED, _DIGIT = ("dot", "[at", "[ at", "(at", "( at"), re.compile("[0-9]")
 _HEX = re.compile(r"[0-9a-f]{32,}|[0-9A-F]{32,}")
 _TOKEN = re.compile(r"\s*(?:[^\W_]+|[^\w\s]|_)")
 BITMAP_BITS = 26
@@ -102,8 +104,10 @@ def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     out: list[tuple[int, int, int, bool]] = []
     ends = sorted(z for _, _, z in taken)
     starts = sorted(a for a, _, _ in taken)
+    lower = text.lower()
+    digits = _DIGIT.search(text) is not None
     for kind, shape, hint in _LOOSE:
-        if hint.search(text) is None:
+        if not (digits if kind else any(h in lower for h in _SPELLED)) or hint.search(text) is None:
             continue
         for m in shape.finditer(text):
             a, z = m.span()
@@ -128,12 +132,16 @@ _known = _TokenHashes()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _hashes(raw: list[str]) -> np.ndarray:
+    return np.fromiter(map(_known.__getitem__, raw), np.uint64, len(raw))
+
+
 def _tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, starts, ends) of the tokens of a whole text."""
     raw = _TOKEN.findall(text)
     ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
     starts = ends - np.fromiter((len(x.lstrip()) for x in raw), np.int64, len(raw))
-    return np.fromiter(map(_known.__getitem__, raw), np.uint64, len(raw)), starts, ends
+    return _hashes(raw), starts, ends
 
 
 def _mixed(kind: int, *parts):
@@ -222,7 +230,7 @@ def _count_patterns(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             held = []
             for t in batch.column(0):
-                h = _tokens(t.as_py() or "")[0]
+                h = _hashes(_TOKEN.findall(t.as_py() or ""))
                 for p in _all_patterns(h):
                     at = (p & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
                     held.append(p[(bits[at >> 6] >> (at & 63)) & 1 == 1])
