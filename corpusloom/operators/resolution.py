@@ -17,8 +17,9 @@ from .ranking import batches
 #: Most rows of one lookup request, by service. Fixed values.
 BATCH_SIZES = {"papers": 500, "archive": 100, "pubmed": 200, "titles": 10}
 ID_KEYS = ("arxiv_id", "doi", "pmid")
-#: Buckets of the counts that order the grams of titles.
+#: Buckets of the counts that order the grams of titles; length of grams, and of titles from which longer ones serve.
 GRAM_BITS = 20
+SHORT_GRAM, LONG_GRAM, LONG_TITLE = 4, 6, 24
 
 
 def normalized_index(records: DataFrame, *, plain: bool = False) -> DataFrame:
@@ -112,12 +113,20 @@ def lookup_batches(values: DataFrame, known: DataFrame, column: str, size: int)
     return batches(missing, size, [F.asc("seq"), F.asc(column)])
 
 
-def _gram_length(least: float) -> int:
-    """The longest character grams of which two titles of that ratio always share one."""
-    for q in (4, 3, 2, 1):
-        if all(n - q + 1 - q * _edits(n, least) >= 1 for n in range(q, 400)):
-            return q
-    raise ValueError(f"no exact filter for a ratio of {least}")
+def _gram_lengths(n: int, least: float) -> tuple[int, ...]:
+    """The gram lengths a title of ``n`` characters is listed by: two for those that may meet a shorter class.
+
+    Of two titles of one class that reach the ratio, at least one gram is the same whatever their lengths.
+    """
+    if n < LONG_TITLE:
+        return (SHORT_GRAM,)
+    return (SHORT_GRAM, LONG_GRAM) if n * least / (2 - least) < LONG_TITLE else (LONG_GRAM,)
+
+
+def _check_grams(least: float) -> None:
+    for q, low, high in ((SHORT_GRAM, SHORT_GRAM, 2 * LONG_TITLE), (LONG_GRAM, LONG_TITLE, 4000)):
+        if any(n - q + 1 - q * _edits(n, least) < 1 for n in range(low, high)):
+            raise ValueError(f"no exact filter for a ratio of {least}")
 
 
 def _edits(n: int, least: float) -> int:
@@ -137,25 +146,31 @@ def _grams(title: str, q: int) -> np.ndarray:
     starts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
     nth = np.empty(len(run), np.uint64)
     nth[order] = np.arange(len(run)) - np.repeat(starts, np.diff(np.append(starts, len(run))))
-    return value | (nth << np.uint64(32))
+    return value | (nth << np.uint64(48)) | (np.uint64(q == LONG_GRAM) << np.uint64(63))
 
 
 def _title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """``a_t, b_t``: every pair of distinct titles whose matching-block ratio can reach ``least``.
 
     Characters outside the blocks are insertions and deletions, each of which destroys at most ``q`` grams.
-    So the rarest ``q * edits + 1`` grams of both titles, in one order, share one. The order is by counts
+    So the rarest ``q * edits + 1`` grams of both titles, in one order, share one. Longer titles have longer grams,
+    which fewer others share. The order is by counts
     of a fixed number of hash buckets.
     """
-    q = _gram_length(least)
+    _check_grams(least)
     bucket = lambda g: ((g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
 
     def counted(batches):
         for batch in batches:
-            found = [bucket(_grams(t.as_py(), q)) for t in batch.column(0)]
+            found = [bucket(_grams(t, q)) for t in batch.column(0).to_pylist() for q in _gram_lengths(len(t), least)]
             key, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["bucket", "n"])
 
+    low, high = left.agg(F.min(F.length("a_t")), F.max(F.length("a_t"))).first()
+    if low is None:
+        return left.join(right, F.lit(False)).select("a_t", "b_t")
+    reach = (2 - least) / least
+    right = right.where(F.length("b_t").between(int(low / reach), int(high * reach) + 1))  # no other length can match
     both = durable(left.select(F.col("a_t").alias("t"), F.lit(True).alias("asks")).distinct().unionByName(right.select(F.col("b_t").alias("t"), F.lit(False).alias("asks")).distinct()))
     sums = both.select("t").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 1 << GRAM_BITS rows at most
     counts = np.zeros(1 << GRAM_BITS, np.int64)
@@ -166,15 +181,19 @@ def _title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             titles, own = batch.column(0).to_pylist(), []
             for t in titles:
-                g = _grams(t, q)
-                own.append(g[np.lexsort((g, held.value[bucket(g)]))[: q * _edits(len(t), least) + 1]])
-            at = np.repeat(np.arange(len(own)), [len(g) for g in own])
+                mine = []
+                for q in _gram_lengths(len(t), least):
+                    g = _grams(t, q)
+                    mine.append(g[np.lexsort((g, held.value[bucket(g)]))[: q * _edits(len(t), least) + 1]])
+                own.append(np.concatenate(mine))
+            at = pa.array(np.repeat(np.arange(len(own)), np.array([len(g) for g in own], np.int64)))
             gram = np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], ["gram", "t", "asks"])
+            yield pa.RecordBatch.from_arrays([pa.array(gram), *(c.take(at) for c in batch.columns[1:])], ["gram", "asks", "h", "n"])
 
-    spread = durable(both.mapInArrow(first, "gram long, t string, asks boolean"))
+    keyed = both.select("t", "asks", F.xxhash64("t").alias("h"), F.length("t").alias("n"))
+    spread = durable(keyed.mapInArrow(first, "gram long, asks boolean, h long, n int"))
     # Runs are joined by gram with the titles' hashes and lengths; the titles come back for the pairs.
-    side = lambda x, asks: spread.where(F.col("asks") == asks).select("gram", F.xxhash64("t").alias(x + "h"), F.length("t").alias(x + "n"))
+    side = lambda x, asks: spread.where(F.col("asks") == asks).select("gram", F.col("h").alias(x + "h"), F.col("n").alias(x + "n"))
     near = 2 * F.least("an", "bn") >= least * (F.col("an") + F.col("bn")) - 1e-9
     pairs = side("a", True).join(side("b", False), "gram").where(near).select("ah", "bh").distinct()
     named = both.select(F.xxhash64("t").alias("h"), "t", "asks")

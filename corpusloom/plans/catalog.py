@@ -338,7 +338,8 @@ def enrich_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fuzzy_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = candidates(spark, sf_dir)
     damaged = F.regexp_replace("title", "^(.{12}).", "$1")
-    probe = c.select(F.col("seq").alias("cand_id"), damaged.alias("title"), "year", F.get("authors", F.lit(0)).alias("authors"))
+    # Only usable titles are ever looked up: that is the rule of the lookup, not a cut of the table.
+    probe = c.where(Q.title_is_usable(F.col("title"), F.lit(True))).select(F.col("seq").alias("cand_id"), damaged.alias("title"), "year", F.get("authors", F.lit(0)).alias("authors"))
     return resolution.fuzzy_match(probe, c).select("cand_id", "record_seq")
 
 
