@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jpeg, langid, linedup, mixing, pii, quality, shards, simhash, topk
+from . import bpe, conversations, jpeg, langid, lexical, linedup, mixing, pii, quality, shards, simhash, topk
 from .common import read_table
+from .sql import OP11_SQL, OP12_SQL
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -66,6 +67,15 @@ def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.digests(jpeg.store(read_table(spark, sf_dir, "documents")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversations.damage(read_table(spark, sf_dir, "conversations"))
+    return conversations.digests(turns, conversations.repair(turns))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_line_dedup,
         op10_jpeg,
+        op11_conversation_repair,
+        op12_lexical_search,
     )
 }
 
@@ -214,7 +226,14 @@ select c.doc_id, c.size, c.source_size, c.target,
 from cum c left join edge e on c.source is not distinct from e.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_proportional_shards": OP1_SQL, "op3_exact_topk": OP3_SQL, "op7_mixing": OP7_SQL, "op9_line_dedup": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_proportional_shards": OP1_SQL,
+    "op3_exact_topk": OP3_SQL,
+    "op7_mixing": OP7_SQL,
+    "op9_line_dedup": OP9_SQL,
+    "op11_conversation_repair": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
