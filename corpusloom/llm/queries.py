@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, jpeg, langid, lexical, linedup, mixing, pii, quality, shards, simhash, topk
+from . import bpe, conversations, jpeg, langid, lexical, linedup, mixing, pii, quality, repeats, shards, simhash, topk
 from .common import read_table
-from .sql import OP11_SQL, OP12_SQL
+from .sql import OP11_SQL, OP12_SQL, OP13_SQL
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,6 +76,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_jpeg,
         op11_conversation_repair,
         op12_lexical_search,
+        op13_suffix_dedup,
     )
 }
 
@@ -233,6 +238,7 @@ ORACLE_SQL: dict[str, str] = {
     "op9_line_dedup": OP9_SQL,
     "op11_conversation_repair": OP11_SQL,
     "op12_lexical_search": OP12_SQL,
+    "op13_suffix_dedup": OP13_SQL,
 }
 
 

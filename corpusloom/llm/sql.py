@@ -117,3 +117,28 @@ scored as (
 select item_id, cast(row_number() over w as int) as rank, doc_id, score from scored where score > 0
 window w as (partition by q order by score desc, doc_id nulls last) qualify row_number() over w <= 20
 """
+
+#: Windows are named by their MD5; of each text's bytes, those that no repeated window covers are kept.
+OP13_SQL = """
+with texts as (select row_number() over () as r, doc_id, encode(coalesce(text, '')) as t from documents),
+windows as (
+  select r, i, md5(t[i:i + 199]) as w
+  from (select r, t, unnest(range(1, octet_length(t) - 198)) as i from texts where octet_length(t) >= 200)
+),
+often as (select w from windows group by w having count(*) > 1),
+hits as (select r, i from windows where w in (select w from often)),
+edges as (select *, coalesce(i - lag(i) over (partition by r order by i) > 200, true)::int as fresh from hits),
+runs as (select *, sum(fresh) over (partition by r order by i) as run from edges),
+spans as (select r, min(i) as a, max(i) + 200 as z from runs group by r, run),
+bounds as (
+  select r, coalesce(lag(z) over (partition by r order by a), 1) as a, a as z from spans
+  union all
+  select s.r, max(s.z) as a, octet_length(any_value(x.t)) + 1 as z from spans s join texts x using (r) group by s.r
+),
+kept as (select b.r, string_agg(hex(x.t[b.a:b.z - 1]), '' order by b.a) as body from bounds b join texts x using (r) where b.z > b.a group by b.r),
+counts as (select r, sum(z - a) as n_removed, count(*) as n_spans from spans group by r)
+select x.doc_id, cast(octet_length(x.t) as bigint) as n_bytes, cast(coalesce(c.n_removed, 0) as bigint) as n_removed,
+       cast(coalesce(c.n_spans, 0) as bigint) as n_spans,
+       sha256(case when c.r is null then x.t else unhex(coalesce(k.body, '')) end) as kept_sha256
+from texts x left join counts c using (r) left join kept k using (r)
+"""
