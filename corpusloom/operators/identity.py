@@ -1,9 +1,8 @@
 """Deduplication by rules that depend on the order of rows.
 
-Rows can only influence one another through shared keys, so the sequential rule is applied inside
-each connected component of rows and keys, and all components run in parallel. Where a rule only keeps
-or drops rows, minima by key decide instead, without components. Merging rows stays sequential inside
-a component: a generic key that links very many rows makes one task long.
+Rows can only influence one another through shared keys. Where a rule only keeps or drops rows, minima by key
+decide in rounds; what those leave is run through in order, a connected component of rows and keys a task. Merging
+rows finds the owner of every key at every row (``owners``) and puts the rows of a record together by aggregates.
 """
 
 from __future__ import annotations
@@ -11,16 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, NumericType, StringType
 
 from corpusloom.functions import text as T
 from corpusloom.schemas import CANDIDATE_COLUMNS
 from corpusloom.session import durable
 
 from .components import component_of_keys
+from .owners import owners
 
-KEYS = ("_archive", "_doi", "_title")
 #: Venues and fields that a later row may replace. Fixed values.
 OPEN_VENUES = ("", "Unknown", "arXiv preprint")
 OPEN_FIELDS = ("", "Unknown")
@@ -42,49 +42,52 @@ def _fold(rows: DataFrame, keys: dict[str, object], rule: Callable[[list[dict]],
     return grouped.groupBy("component").applyInArrow(run, schema)
 
 
-def _identity_keys() -> dict[str, object]:
-    return {
-        "_archive": T.filled(F.lower(T.drop_version(F.col("arxiv_id")))),
-        "_doi": T.filled(T.strip(F.lower(T.text_or_empty(F.col("doi"))))),
-        "_title": T.filled(T.plain_key(F.col("title"))),
-    }
+def _identity_keys() -> list[Column]:
+    """Archive id, DOI and title as keys, in the order of their precedence."""
+    return [
+        T.filled(F.lower(T.drop_version(F.col("arxiv_id")))),
+        T.filled(T.strip(F.lower(T.text_or_empty(F.col("doi"))))),
+        T.filled(T.plain_key(F.col("title"))),
+    ]
 
 
-def _is_open(name: str, value: object) -> bool:
-    if name == "venue":
-        return (value or "") in OPEN_VENUES or str(value).startswith("arXiv (")
-    if name == "field":
-        return (value or "") in OPEN_FIELDS
-    return not value
-
-
-def _merge_rule(fields: tuple[str, ...]) -> Callable[[list[dict]], list[dict]]:
-    """Later rows fill what the first row of their identity left open; keys are those of the merged row."""
-    key_of = {"arxiv_id": "_archive", "doi": "_doi", "title": "_title"}
+def _is_filled(column: Column, kind: DataType) -> Column:
+    """Neither null nor an empty string or list."""
+    if isinstance(kind, StringType):
+        return T.text_or_empty(column) != ""
+    return F.coalesce(F.size(column) > 0, F.lit(False)) if isinstance(kind, ArrayType) else column.isNotNull()
 
-    def rule(rows: list[dict]) -> list[dict]:
-        kept: list[dict] = []
-        place: dict[tuple[str, str], int] = {}
-        for row in rows:
-            at = next((place[k, row[k]] for k in KEYS if row[k] and (k, row[k]) in place), len(kept))
-            if at == len(kept):
-                kept.append(dict(row))
-            else:
-                for name in fields:
-                    if row[name] not in (None, "", []) and _is_open(name, kept[at][name]):
-                        kept[at][name] = row[name]
-                        if name in key_of:
-                            kept[at][key_of[name]] = row[key_of[name]]
-            place.update({(k, kept[at][k]): at for k in KEYS if kept[at][k]})
-        return kept
 
-    return rule
+def _is_settled(name: str, column: Column, kind: DataType) -> Column:
+    """Whether a field's value stays, whatever later rows bring."""
+    if name == "venue":
+        return ~T.text_or_empty(column).isin(*OPEN_VENUES) & ~T.text_or_empty(column).startswith("arXiv (")
+    if name == "field":
+        return ~T.text_or_empty(column).isin(*OPEN_FIELDS)
+    if isinstance(kind, NumericType):
+        return F.coalesce(column != 0, F.lit(False))
+    return _is_filled(column, kind)
 
 
 def merge_duplicates(rows: DataFrame, seq: str = "seq") -> DataFrame:
-    """One row per work: match by archive id, then DOI, then title; richer metadata fills gaps."""
-    fields = tuple(c for c in CANDIDATE_COLUMNS if c in rows.columns)
-    return _fold(rows, _identity_keys(), _merge_rule(fields), seq)
+    """One row per work: match by archive id, then DOI, then title; richer metadata fills gaps.
+
+    A row joins the record that owns its first owned key (see ``owners``). A field is that of the first row with a value that
+    settles it; without one the last filled value stands, else the founder's own. Other columns are the founder's.
+    """
+    filled = [_is_filled(F.col(c), rows.schema[c].dataType) for c in ("arxiv_id", "doi", "title")]
+    joined = rows.join(owners(rows, _identity_keys(), filled, seq), seq)
+    place = F.struct(F.col(seq))  # never null, so a founder's null is found as well
+    out = []
+    for c in rows.columns:
+        own = F.min_by(F.struct(F.col(c)), place)[c]
+        if c in CANDIDATE_COLUMNS:
+            kind = rows.schema[c].dataType
+            first = F.min_by(c, F.when(_is_settled(c, F.col(c), kind), F.col(seq)))
+            last = F.max_by(c, F.when(_is_filled(F.col(c), kind), F.col(seq)))
+            own = F.coalesce(first, last, own)
+        out.append(own.alias(c))
+    return joined.groupBy("owner").agg(*out).select(*rows.columns)
 
 
 def _firsts(rows: DataFrame, key: str, seq: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from .fulltext import build_outputs, parse_cascade
 from .identity import keep_first, merge_duplicates
 from .ranking import first_successes, global_rank, legacy_venue, outcome_counts, pending_tasks, rank_candidates, unprocessed
 from .resolution import enrich
+from .waves import ranked_waves
 
 
 #: Candidates that are collected for each success a limited run is to have. Fixed value.
@@ -90,6 +92,18 @@ def plan_downloads(candidates: DataFrame, progress: DataFrame, shard: int, shard
     return ranked.where(F.pmod(F.col("rank") - 1, F.lit(shards)) == shard)
 
 
+def written_documents(spark: SparkSession, folder: str, shard: int, before: int) -> int:
+    """Valid documents that the runs of a shard with numbers under ``before`` have left in ``folder``."""
+    try:
+        files = spark.read.schema("file string").json(f"{folder}/runs/shard={shard}/*/documents")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+    number = F.regexp_extract("_metadata.file_path", r"/(\d+)/documents/", 1).cast("int")
+    return files.where(number < before).count()
+
+
 def run_shard(
     spark: SparkSession,
     folder: str,
@@ -98,17 +112,22 @@ def run_shard(
     *,
     shard: int = 0,
     shards: int = 1,
+    limit: int | None = None,
     most: int | None = None,
     min_references: int = 1,
     limits: Limits | None = None,
+    least_wave: int = 1000,
 ) -> DataFrame:
     """One resumable run over a shard: ``source, category, n`` of what it did.
 
     ``folder/candidates.jsonl`` holds the candidates. ``sources`` are (name, files, kind) in the order of
-    preference; a file's ``paper_id`` is the output stem of its candidate. A candidate that ``folder/processed``
-    lists is not tried again; a run tries the ``most`` first of the others by rank. Documents go to
-    ``folder/runs/<n>``, then the processed ids are appended, so a run that dies between the two is repeated
-    into the same ``n`` and leaves no second copy.
+    preference; a file's ``paper_id`` is the output stem of its candidate. Of candidates with one stem the first by rank is
+    tried and stands for all. A candidate that ``folder/processed`` lists is not tried again.
+
+    The run stops at ``limit`` valid documents in the folder of its shard, those of earlier runs included, exactly where
+    a run that tries one candidate after the other would (see ``waves``); ``most`` bounds the candidates that are tried.
+    A wave's documents go to ``folder/runs/shard=<shard>/<n>``, then its ids are appended to ``folder/processed``,
+    so a run that dies between the two is repeated into the same ``n`` and leaves no second copy.
     """
     candidates = with_seq(read_candidates(spark, f"{folder}/candidates.jsonl"), "title", "arxiv_id", "doi")
     processed = read_processed(spark, f"{folder}/processed")
@@ -116,22 +135,32 @@ def run_shard(
     number = current.where(F.col("shard") == shard).agg(F.coalesce(F.max("run") + 1, F.lit(0))).first()[0]
     # The rank is that of the whole pool, so a shard keeps its slice however far it has come.
     ranked = rank_candidates(candidates)
-    mine = unprocessed(ranked.where(F.pmod(F.col("rank") - 1, F.lit(shards)) == shard), current.select("processed_id"))
-    if most is not None:
-        mine = global_rank(mine, [F.asc("rank")], "_nth").where(F.col("_nth") <= most).drop("_nth")
-    planned = durable(mine.withColumn("paper_id", T.output_stem(F.col("arxiv_id"), F.col("doi"), F.col("pmcid"), F.col("title"))).dropDuplicates(["paper_id"]))
-    wanted = planned.select("paper_id")
-    parsed = durable(parse_cascade([(name, files.join(wanted, "paper_id", "left_semi"), kind) for name, files, kind in sources]))
-    good = parsed.where("full_text is not null")
-    outputs = durable(build_outputs(good, planned, index, min_references=min_references, limits=limits))
-    write_documents(outputs, f"{folder}/runs/shard={shard}/{number}")
-    tried = wanted.join(parsed.select("paper_id", "source", F.col("errors").alias("parse_errors")), "paper_id", "left").join(outputs.select("paper_id", "errors"), "paper_id", "left")
-    failed = F.when(F.col("source").isNull(), F.coalesce("parse_errors", F.array(F.lit("no source"))))
-    outcome = tried.select(F.when(F.size("errors") == 0, F.col("source")).alias("source"), F.coalesce("errors", failed).alias("errors"))
-    summary = durable(outcome_counts(outcome))
-    ids = planned.select(T.first_filled(F.col("arxiv_id"), F.col("title")).alias("processed_id"), F.lit(K.RUN_VERSION).alias("pipeline_version"), F.lit(shard).alias("shard"), F.lit(number).alias("run"))
-    ids.write.mode("append").parquet(f"{folder}/processed")
-    return summary
+    mine = unprocessed(ranked.where(F.pmod(F.col("rank") - 1, F.lit(shards)) == shard), durable(current.select("processed_id")))
+    stem = T.output_stem(F.col("arxiv_id"), F.col("doi"), F.col("pmcid"), F.col("title"))
+    pool = durable(mine.withColumn("paper_id", stem))
+    firsts = pool.groupBy("paper_id").agg(F.min("rank").alias("rank"))
+    ordered = global_rank(pool.join(firsts.drop("paper_id"), "rank", "left_semi").withColumnRenamed("rank", "_pool"), [F.asc("_pool")])
+    planned = durable(ordered if most is None else ordered.where(F.col("rank") <= most))
+
+    def attempt(wave: DataFrame) -> DataFrame:
+        wanted = wave.select("paper_id")
+        parsed = durable(parse_cascade([(name, files.join(wanted, "paper_id", "left_semi"), kind) for name, files, kind in sources]))
+        made = build_outputs(parsed.where("full_text is not null"), wave, index, min_references=min_references, limits=limits)
+        outputs = made.select("paper_id", F.struct(*made.columns).alias("output"))
+        tried = wave.select("rank", "paper_id").join(parsed.select("paper_id", "source", F.col("errors").alias("_parse")), "paper_id", "left").join(outputs, "paper_id", "left")
+        failed = F.when(F.col("source").isNull(), F.coalesce("_parse", F.array(F.lit("no source"))))
+        return tried.select("rank", "paper_id", (F.coalesce(F.size("output.errors"), F.lit(-1)) == 0).alias("ok"), "source", F.coalesce("output.errors", failed).alias("errors"), "output")
+
+    done = spark.createDataFrame([], "source string, errors array<string>")
+    already = 0 if limit is None else written_documents(spark, folder, shard, number)
+    for outcome in ranked_waves(planned, attempt, limit, already=already, least=least_wave):
+        write_documents(outcome.where("output is not null").select("output.*"), f"{folder}/runs/shard={shard}/{number}")
+        told = pool.join(outcome.select("paper_id"), "paper_id", "left_semi")
+        ids = told.select(T.first_filled(F.col("arxiv_id"), F.col("title")).alias("processed_id"), F.lit(K.RUN_VERSION).alias("pipeline_version"), F.lit(shard).alias("shard"), F.lit(number).alias("run"))
+        ids.write.mode("append").parquet(f"{folder}/processed")
+        done = done.unionByName(outcome.select(F.when(F.col("ok"), F.col("source")).alias("source"), "errors"))
+        number += 1
+    return durable(outcome_counts(done))
 
 
 def output_identity(arxiv_id: Column, doi: Column, pmcid: Column, title: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from corpusloom import constants as K
 from corpusloom.functions import quality as Q
 from corpusloom.functions import text as T
 from corpusloom.kernels.citing import Limits
-from corpusloom.operators import fulltext, identity, ranking, resolution, sections
+from corpusloom.operators import asof, fulltext, identity, ranking, resolution, sections, waves
 from corpusloom.session import spread
 from corpusloom.sources import payloads, sinks
 
@@ -208,6 +209,16 @@ def success_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.first_successes(ranked, F.coalesce(F.col("field"), F.lit("")).startswith("Field"), 40).select("seq", "rank")
 
 
+@query(_with(f"""select seq, rank, ok from (select *, coalesce(sum(ok::int) over (order by rank rows between unbounded preceding and 1 preceding), 0) as before
+  from (select seq, rank, length({TITLE('title')}) >= 15 and len(string_split({TITLE('title')}, ' ')) between 3 and 40 as ok from ranked)) where before < 60""", _TIERED, _RANKED))
+def limited_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run tries that stops at its 60th usable title, in waves; the limit is the feature."""
+    ranked = ranking.rank_candidates(candidates(spark, sf_dir)).select("seq", "title", "rank")
+    attempt = lambda wave: wave.select("seq", "rank", Q.title_is_usable(F.col("title"), F.lit(True)).alias("ok"))
+    tried = list(waves.ranked_waves(ranked, attempt, 60, least=16))
+    return reduce(DataFrame.unionByName, tried, ranked.limit(0).select("seq", "rank", F.lit(True).alias("ok")))
+
+
 @query(_with("select source, category, count(*) as n from (select case when seq % 3 <> 0 then 'arxiv' end as source, case when seq % 3 = 0 then case when seq % 2 = 0 then 'quality_validation' else 'source_unavailable' end end as category from cand) group by all"))
 def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = candidates(spark, sf_dir).selectExpr("case when seq % 3 <> 0 then 'arxiv' end as source", "array(case when seq % 2 = 0 then 'abstract is empty or too short' else 'gone' end) as errors")
@@ -424,6 +435,15 @@ def sections_at_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", fulltext.section_at(starts, F.col("event_id") % 100).alias("section"))
 
 
+@query("""select e.event_id, p.v as last_error from events e asof left join
+  (select user_id, ts, max(value) as v from events where event_type = 'error' and user_id is not null and ts is not null and value is not null group by all) p
+  on e.user_id = p.user_id and e.ts >= p.ts""")
+def events_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the value of its user's last error until then."""
+    e = table(spark, sf_dir, "events")
+    return asof.asof_join(e.select("event_id", "user_id", "ts"), e.where("event_type = 'error'"), "user_id", "ts", "value", "last_error").select("event_id", "last_error")
+
+
 @query()
 def sentence_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), F.col("text").alias("full_text"))
