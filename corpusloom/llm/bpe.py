@@ -10,7 +10,7 @@ words are not a billion rows.
 
 A block is rebuilt from the rows in the order of its partition. Should an input come back in another
 order when a lost task runs again, the checksum of a word list differs and the words are encoded on
-the spot: the result is the same.
+the spot; answers for a block that the texts do not make are dropped. The result is the same.
 
 Defined cases: a null text is the empty one (no ids); the strings of added tokens become those tokens,
 as the library does; texts are taken whole; repeated rows each get a row; an empty table gives none.
@@ -34,6 +34,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 BLOCK_BYTES = 8 << 20
 #: Ids that are decoded together.
@@ -204,7 +206,7 @@ def _pack_texts(size: int):
     return run
 
 
-def _join_back(path: str, parts: int, outputs: tuple[str, ...]):
+def _join_back(path: str, parts: int, outputs: tuple[str, ...], schema: pa.Schema):
     def run(table: pa.Table) -> pa.Table:
         codec, answers, packed = Codec.of(path), {}, None
         for part, blob in zip(table.column("part").to_pylist(), table.column("blob").to_pylist()):
@@ -212,6 +214,8 @@ def _join_back(path: str, parts: int, outputs: tuple[str, ...]):
                 packed = blob
             else:
                 answers[part] = blob
+        if packed is None:  # the texts came in another order and make fewer blocks: no row is in this one
+            return schema.empty_table()
         rows = pa.ipc.open_stream(zstandard.decompress(packed)).read_all()
         del packed
         seen, each = _numbered(codec, rows.column("text").to_pylist())
@@ -272,7 +276,7 @@ def encode(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text: str =
     texts = rows.mapInArrow(_pack_texts(block_bytes), shape)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}", *(f"{o} {_TYPES[o]}" for o in outputs)])
-    return texts.unionByName(answers).groupBy("block").applyInArrow(_join_back(vocabulary, parts, outputs), schema)
+    return texts.unionByName(answers).groupBy("block").applyInArrow(_join_back(vocabulary, parts, outputs, to_arrow_schema(StructType.fromDDL(schema))), schema)
 
 
 def pieces(spark, vocabulary: str) -> DataFrame:
@@ -283,13 +287,14 @@ def pieces(spark, vocabulary: str) -> DataFrame:
 def decode(encoded: DataFrame, vocabulary: str, *, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``key, text``: ids joined with their pieces by id and put together by position.
 
-    Keys must be unique. The table of pieces is broadcast: its size is that of the vocabulary. An
+    Keys must be unique; one of them may be null. The table of pieces is broadcast: its size is that of the vocabulary. An
     empty list gives the empty text, a null list a null; bytes that are no UTF-8 become U+FFFD.
     """
     spread = encoded.select(F.col(key), F.posexplode(F.col(ids)).alias("_p", "id"))
     joined = spread.join(F.broadcast(pieces(encoded.sparkSession, vocabulary)), "id")
     parts = F.array_sort(F.collect_list(F.struct("_p", "piece")))
     merged = joined.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: F.hex(x["piece"])), "").alias("_hex"))
-    rows = encoded.select(F.col(key), F.col(ids).isNull().alias("_null")).join(merged, key, "left")
+    rows = encoded.select(F.col(key), F.col(ids).isNull().alias("_null"))
+    rows = rows.join(merged.withColumnRenamed(key, "_k"), F.col(key).eqNullSafe(F.col("_k")), "left")
     whole = F.decode(F.unhex(F.coalesce("_hex", F.lit(""))), "UTF-8")
     return rows.select(key, F.when(~F.col("_null"), whole).alias("text"))

@@ -66,7 +66,39 @@ def test_a_changed_order_is_encoded_on_the_spot(library):
     with pa.ipc.new_stream(sink, table.schema) as out:
         out.write_batch(table)
     rows_ = pa.table({"block": ["b", "b"], "part": [-1, 0], "blob": [zstandard.compress(sink.getvalue()), struct.pack("<QI", 1, 3)]})
-    assert bpe._join_back(PATH, 1, ("ids",))(rows_).to_pylist()[0]["ids"] == library.encode("some other text").ids
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    assert bpe._join_back(PATH, 1, ("ids",), schema)(rows_).to_pylist()[0]["ids"] == library.encode("some other text").ids
+
+
+def test_a_changed_order_may_make_fewer_blocks(spark, library, monkeypatch):
+    """Words of the order that makes two blocks, texts of the order that makes one: every text is answered once."""
+    texts = ["a " * 40, "b", "c " * 40]
+    one, two = (spark.createDataFrame([(i, texts[i]) for i in order], "doc_id long, text string").coalesce(1) for order in ((0, 2, 1), (1, 0, 2)))
+    size = 200
+    cut = lambda frame: {r.block for r in frame.mapInArrow(bpe._list_words(PATH, 2, size), "block string, part int, blob binary").collect()}
+    few, many = sorted((one, two), key=lambda f: len(cut(f)))
+    if len(cut(few)) == len(cut(many)):
+        few = few.limit(1).coalesce(1)
+    assert len(cut(few)) < len(cut(many))
+    calls = iter((many, few))
+    plain = type(many).mapInArrow
+
+    def in_turns(frame, run, schema, *more, **named):
+        """The words are listed from one order, the texts packed from the other."""
+        return plain(next(calls) if frame.columns == ["doc_id", "text"] else frame, run, schema, *more, **named)
+
+    monkeypatch.setattr(type(many), "mapInArrow", in_turns)
+    found = bpe.encode(many, PATH, outputs=("ids",), block_bytes=size)
+    monkeypatch.undo()
+    got = {r.doc_id: r.ids for r in found.collect()}
+    assert got and all(ids == library.encode(texts[i]).ids for i, ids in got.items())
+    assert set(got) == {r.doc_id for r in few.collect()}
+
+
+def test_decode_finds_a_null_key(spark):
+    frame = spark.createDataFrame([(None, [1, 2, 3]), (4, [5])], "doc_id long, ids array<int>")
+    got = {r.doc_id: r.text for r in bpe.decode(frame, PATH).collect()}
+    assert got == {None: "\"#$", 4: "&"}
 
 
 def test_decode_joins_pieces(spark):
