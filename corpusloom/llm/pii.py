@@ -63,6 +63,8 @@ _SPELLED, _DIGIT = ("dot", "[at", "[ at", "(at", "( at"), re.compile("[0-9]")
 _HEX = re.compile(r"[0-9a-f]{32,}|[0-9A-F]{32,}")
 _TOKEN = re.compile(r"\s*(?:[^\W_]+|[^\w\s]|_)")
 BITMAP_BITS = 26
+#: Growth of all scores together that ends the rounds, and the number of rounds that is an error.
+STILL, MOST_ROUNDS = 1e-3, 200
 
 
 def _luhn(digits: str) -> bool:
@@ -241,16 +243,18 @@ def _count_patterns(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return counted.groupBy("pattern").agg(F.sum("n").alias("total")).join(wanted, "pattern", "left_semi")
 
 
-def score_patterns(edges: DataFrame, totals: DataFrame, min_seeds: int = 3, min_confidence: float = 0.5, rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+def score_patterns(edges: DataFrame, totals: DataFrame, min_seeds: int = 3, min_confidence: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """(``kind, pattern, confidence`` of eligible patterns, ``kind, instance`` believed by a trusted one).
 
-    ``edges``: ``kind, pattern, instance, seed, n``; ``totals``: ``pattern, total``. Rounds end when as
-    many patterns are trusted as before, or after ``rounds``.
+    ``edges``: ``kind, pattern, instance, seed, n``; ``totals``: ``pattern, total``. Scores only grow from round to round.
+    Rounds end when the sets of eligible and trusted patterns and of believed instances are those of the round before and
+    all scores together have grown by less than ``STILL``; more than ``MOST_ROUNDS`` are an error, not a result.
     """
     edges = durable(edges.join(totals, "pattern"))
     scores = durable(edges.groupBy("kind", "instance").agg(F.max("seed").cast("double").alias("score")))
-    before = None
-    for _ in range(rounds):
+    name = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(38,0)"))
+    before, grown = None, 0.0
+    for _ in range(MOST_ROUNDS):
         gain = F.sum(F.col("score") * F.col("n")) / F.greatest(F.first("total"), F.sum("n"))
         believed = F.count(F.when(F.col("score") >= min_confidence, 1))
         found = edges.join(scores, ["kind", "instance"]).groupBy("kind", "pattern").agg(gain.alias("confidence"), believed.alias("_n"))
@@ -258,14 +262,18 @@ def score_patterns(edges: DataFrame, totals: DataFrame, min_seeds: int = 3, min_
         doubt = F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999))))
         behind = edges.join(confidence, ["kind", "pattern"], "left").groupBy("kind", "instance")
         scores = durable(behind.agg(F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(doubt)).alias("score"), F.max("confidence").alias("best")))
-        state = tuple(confidence.agg(F.count(F.when(F.col("confidence") >= min_confidence, 1)), F.count("*")).first())
-        if state == before:
+        patterns = confidence.agg(F.count("*"), name("kind", "pattern", F.col("confidence") >= min_confidence)).first()
+        instances = scores.agg(name("kind", "instance", F.col("score") >= min_confidence), F.coalesce(F.sum("score"), F.lit(0.0))).first()
+        state = (*patterns, instances[0])
+        if state == before and abs(instances[1] - grown) < STILL:
             break
-        before = state
+        before, grown = state, instances[1]
+    else:
+        raise RuntimeError(f"patterns are not settled after {MOST_ROUNDS} rounds")
     return confidence, scores.where(F.col("best") >= min_confidence).select("kind", "instance")
 
 
-def extract(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_seeds: int = 3, min_confidence: float = 0.5, rounds: int = 8) -> DataFrame:
+def extract(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_seeds: int = 3, min_confidence: float = 0.5) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added``: base counts and all spans."""
     found = durable(_extract(docs, key, text).withColumn("_rid", F.monotonically_increasing_id()))
     spread = found.select("_rid", F.explode("edges").alias("e")).select("_rid", "e.*")
@@ -277,7 +285,7 @@ def extract(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_see
     spans, joined = F.col("base"), found
     if not edges.where("not base").isEmpty():
         totals = durable(_count_patterns(docs, text, edges.select("pattern").distinct()))
-        _, believed = score_patterns(edges.drop("base"), totals, min_seeds, min_confidence, rounds)
+        _, believed = score_patterns(edges.drop("base"), totals, min_seeds, min_confidence)
         new = spread.where("not base").join(believed, ["kind", "instance"], "left_semi")
         ordered = F.array_sort(F.collect_set(F.struct("start", (-F.col("end")).alias("minus"), "kind")))
         none = F.array().cast(f"array<{_SPAN}>")

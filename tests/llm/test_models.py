@@ -304,10 +304,10 @@ def plain_scores(edges: list[tuple], total: dict, least: int = 3, sure: float =
         best = {i: max((confidence.get(p, 0) for p, j, *_ in edges if j == i)) for i in score}
         doubt = {i: math.prod(1 - min(confidence.get(p, 0), 0.999) for p, j, *_ in edges if j == i) for i in score}
         score = {i: 1.0 if i in seeds else 1 - doubt[i] for i in score}
-        state = (sum(c >= sure for c in confidence.values()), len(confidence))
-        if state == before:
+        state = ({p: c >= sure for p, c in confidence.items()}, {i for i in score if score[i] >= sure})
+        if before and state == before[0] and sum(score.values()) - before[1] < pii.STILL:
             return confidence, {i for i, c in best.items() if c >= sure}
-        before = state
+        before = (state, sum(score.values()))
 
 
 def test_scores_are_those_of_plain_rounds(spark):
@@ -324,6 +324,18 @@ def test_scores_are_those_of_plain_rounds(spark):
     assert {r.instance for r in believed.collect()} == trusted and 10 in trusted and 12 not in trusted
 
 
+def test_a_chain_of_patterns_is_trusted_to_its_end(spark, monkeypatch):
+    """Pattern k is learnt from what pattern k - 1 has found, fourteen times."""
+    edges = [(k, 100 * (k + d) + i, k + d == 0, 1) for k in range(14) for d in (0, 1) for i in range(3)]
+    frame = spark.createDataFrame([(4, *e) for e in edges], "kind int, pattern long, instance long, seed boolean, n long")
+    totals = spark.createDataFrame([(k, 6) for k in range(14)], "pattern long, total long")
+    confidence, believed = pii.score_patterns(frame, totals)
+    assert confidence.where("confidence >= 0.5").count() == 14 and believed.count() == 45
+    monkeypatch.setattr(pii, "MOST_ROUNDS", 8)
+    with pytest.raises(RuntimeError):
+        pii.score_patterns(frame, totals)
+
+
 def test_contexts_find_unseen_identifiers(spark):
     rng = random.Random(1)
     seeds = [(i, f"{sentence(rng, 5)} Hotline: +1 (7{i:02d}) 555-70{i:02d} {sentence(rng, 4)}") for i in range(20)]
