@@ -171,7 +171,8 @@ def build_outputs(documents: DataFrame, metadata: DataFrame, index: DataFrame, *
     """
     detected = split_sections(F.col("full_text"))
     docs = spread(documents).withColumn("sections", union_sections(F.coalesce("sections", F.create_map().cast("map<string,string>")), detected))
-    cited = cited_works(docs.withColumn("references_text", F.try_element_at("sections", F.lit("references"))), limits)
+    # Resolution reads the cited works for their keys and again for their rows: the kernel runs once.
+    cited = durable(cited_works(docs.withColumn("references_text", F.try_element_at("sections", F.lit("references"))), limits))
     resolved = resolve_references(cited, index, fuzzy_records)
     good = resolved.where(~Q.reference_is_noisy(F.col("title"), F.col("summary")))
     grouped = good.groupBy("paper_id").agg(F.sort_array(F.collect_list(F.struct("ord", "id", "title", "summary", "citation_contexts"))).alias("_r"))

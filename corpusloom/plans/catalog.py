@@ -249,24 +249,35 @@ def _topical(values: tuple[str, ...], cats: tuple[str, ...], size: int, tag: str
     return f"select {g} as g, i, j, '{tag}' as tag, array_to_string(list_slice({_listed(cats)}, j * {size} + 1, j * {size} + {size}), ',') as cats, v as query from (select unnest({_listed(values)}) as v, unnest(range({len(values)})) as i), range({n}) t(j)"
 
 
-@query(
-    "select row_number() over (order by g, i, j) - 1 as pos, tag, cats, query, cast(300 as int) as max, tag || ':' || cats || ':' || query as key from ("
+_KNOWN_VENUES = "known as (select 'jr:\"' || venue || '\" AND submittedDate:[' || year || '01010000 TO ' || year || '12312359]' as query, count(*) as n from cand group by 1)"
+
+
+@query(_with(
+    "select pos, tag, cats, query, max, key, coalesce(n, 0) as n_known from (select row_number() over (order by g, i, j) - 1 as pos, tag, cats, query, cast(300 as int) as max, tag || ':' || cats || ':' || query as key from ("
     + " union all ".join((
         _dated(K.TOP_VENUES, K.VENUE_YEARS, 'jr:"', '"', "journal_venue", 0), _dated(K.TOP_VENUES, K.VENUE_YEARS, 'co:"', '"', "comment_venue", 1),
         _topical(K.COMPUTING_TOPICS, K.COMPUTING_CATEGORIES, 4, "cs_topic", 2), _topical(K.BIOLOGY_TOPICS, K.BIOLOGY_CATEGORIES, 3, "bio_topic", 3),
         _dated(K.SWEEP_TERMS, K.SWEEP_YEARS, "(", ")", "broad", 4),
-    )) + ")"
-)
+    )) + ")) left join known using (query)", _KNOWN_VENUES
+))
 def search_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = ranking.search_tasks(spark)
-    return grid.select(F.col("pos").cast("long").alias("pos"), "tag", F.coalesce(F.array_join("cats", ","), F.lit("")).alias("cats"), "query", "max", "key")
+    """Every search with the number of candidates held of its venue and year."""
+    year = F.col("year").cast("string")
+    query_of = F.concat(F.lit('jr:"'), "venue", F.lit('" AND submittedDate:['), year, F.lit("01010000 TO "), year, F.lit("12312359]"))
+    known = candidates(spark, sf_dir).groupBy(query_of.alias("query")).agg(F.count("*").alias("n_known"))
+    grid = ranking.search_tasks(spark).join(known, "query", "left").withColumn("n_known", F.coalesce("n_known", F.lit(0)))
+    return grid.select("n_known", F.col("pos").cast("long").alias("pos"), "tag", F.coalesce(F.array_join("cats", ","), F.lit("")).alias("cats"), "query", "max", "key")
 
 
-@query(f"""select m.i * {len(K.CATEGORIES)} + c.j as pos, c.v as category, 'submittedDate:[' || strftime(m.d, '%Y%m') || '010000 TO ' || strftime(last_day(m.d), '%Y%m%d') || '2359]' as date_range,
+@query(_with(f"""select m.i * {len(K.CATEGORIES)} + c.j as pos, c.v as category, coalesce(k.n, 0) as n_known, 'submittedDate:[' || strftime(m.d, '%Y%m') || '010000 TO ' || strftime(last_day(m.d), '%Y%m%d') || '2359]' as date_range,
   regexp_replace(c.v, '^([^.]+)\\.(.*)$', '\\1:\\1:\\2') as oai_set
-  from (select date '2026-07-01' - to_months(k::int) as d, k as i from range(139) t(k)) m, (select unnest({_listed(K.CATEGORIES)}) as v, unnest(range({len(K.CATEGORIES)})) as j) c""")
+  from (select date '2026-07-01' - to_months(k::int) as d, k as i from range(139) t(k)) m, (select unnest({_listed(K.CATEGORIES)}) as v, unnest(range({len(K.CATEGORIES)})) as j) c
+  left join (select keywords[1] as category, year, count(*) as n from cand group by all) k on c.v = k.category and year(m.d) = k.year"""))
 def harvest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.harvest_tasks(spark).select(F.col("pos").cast("long").alias("pos"), "category", "date_range", ranking.set_name(F.col("category")).alias("oai_set"))
+    """Every harvest task with the number of candidates held of its category and year."""
+    known = candidates(spark, sf_dir).groupBy(F.get("keywords", F.lit(0)).alias("category"), F.col("year").alias("_year")).agg(F.count("*").alias("n"))
+    tasks = ranking.harvest_tasks(spark).withColumn("_year", F.substring("date_range", 16, 4).cast("int")).join(known, ["category", "_year"], "left")
+    return tasks.select(F.coalesce("n", F.lit(0)).alias("n_known"), F.col("pos").cast("long").alias("pos"), "category", "date_range", ranking.set_name(F.col("category")).alias("oai_set"))
 
 
 @query(_with("select seq, venue, field from cand where year between 2018 and 2022"))
@@ -325,10 +336,10 @@ def title_lookup_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.title_lookups(c, 12).select("paper_id", "seq", F.col("lookup_rank").cast("long").alias("lookup_rank"))
 
 
-@query(_with(f"select archive, seq, cast((row_number() over (order by seq, archive) - 1) // 100 as int) as batch from (select {ARCHIVE('arxiv_id')} as archive, min(seq) as seq from cand where arxiv_id is not null group by 1) where archive not in (select a from idx where a is not null)", _IDX))
+@query(_with(f"select archive, seq, cast((row_number() over (order by seq, archive) - 1) // 100 as int) as batch from (select {ARCHIVE('arxiv_id')} as archive, min(seq) as seq from cand where arxiv_id is not null group by 1) where archive not in (select {ARCHIVE('arxiv_id')} from cand where arxiv_id is not null and venue <> 'Nature')"))
 def lookup_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = candidates(spark, sf_dir).select("seq", T.archive_key(F.col("arxiv_id")).alias("archive"))
-    known = _index(spark, sf_dir).where("arxiv_id is not null").select(F.col("arxiv_id").alias("archive"))
+    known = candidates(spark, sf_dir).where("arxiv_id is not null and venue <> 'Nature'").select(T.archive_key(F.col("arxiv_id")).alias("archive"))
     return resolution.lookup_batches(values, known, "archive", 100).select("archive", "seq", "batch")
 
 
