@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import json
 
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +35,11 @@ author:array<struct<given:string,family:string>>,issued:struct<`date-parts`:arra
 _PAPER = "array<struct<title:string,abstract:string,year:string,authors:array<struct<name:string>>,externalIds:struct<ArXiv:string,DOI:string,PubMed:string>>>"
 
 
+_XML = {"ignoreNamespace": "true", "attributePrefix": "_", "valueTag": "_VALUE", "mode": "PERMISSIVE"}
+
+
 def _xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFrame:
-    options = {"rowTag": row, "ignoreNamespace": "true", "attributePrefix": "_", "valueTag": "_VALUE", "mode": "PERMISSIVE"}
-    return spark.read.format("xml").options(**options).schema(schema).load(path)
+    return spark.read.format("xml").options(rowTag=row, **_XML).schema(schema).load(path)
 
 
 def with_seq(rows: DataFrame, *order: str) -> DataFrame:
@@ -81,7 +82,17 @@ def read_atom(spark: SparkSession, path: str) -> DataFrame:
 
 def read_oai(spark: SparkSession, path: str) -> DataFrame:
     """Harvested records as candidates; deleted ones and those without id or title are left out."""
-    r = _xml(spark, path, "record", _OAI).where(F.col("header").isNotNull() & ~F.col("header._status").eqNullSafe("deleted") & F.col("metadata.arXiv").isNotNull())
+    return oai_candidates(_xml(spark, path, "record", _OAI))
+
+
+def streamed_records(pages: DataFrame) -> DataFrame:
+    """``header, metadata`` of the records that a stream of pages hands out (see ``pages``)."""
+    return pages.select(F.from_xml("record", _OAI, _XML).alias("r")).select("r.*")
+
+
+def oai_candidates(records: DataFrame) -> DataFrame:
+    """Candidates of harvested records (``header, metadata``); also of a stream."""
+    r = records.where(F.col("header").isNotNull() & ~F.col("header._status").eqNullSafe("deleted") & F.col("metadata.arXiv").isNotNull())
     a = r.select("metadata.arXiv.*")
     ident, title = T.clean_space(F.col("id")), T.clean_space(F.col("title"))
     people = F.coalesce("authors.author", F.array().cast("array<struct<keyname:string,forenames:string>>"))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from corpusloom import schemas as S
 from corpusloom.functions import text as T
 
+from .perfile import FileSink
+
 
 def write_json(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.write.mode(mode).option("ignoreNullFields", False).json(path)
@@ -25,6 +27,20 @@ def write_documents(outputs: DataFrame, path: str) -> None:
     write_json(rows.where(F.size("errors") > 0).select("file", *S.OUTPUT_COLUMNS, "errors"), f"{path}/_rejected")
 
 
+def write_files(outputs: DataFrame, path: str) -> None:
+    """One JSON file a document: valid ones in ``path``, those with errors in ``path/_rejected``; a name is in one of them.
+
+    Every write is seen whole or not at all (see ``perfile``).
+    """
+    outputs.sparkSession.dataSource.register(FileSink)
+    name = F.concat(T.output_stem(F.col("paper_id"), F.col("title")), F.lit(".json"))
+    body = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
+    rejected = f"{path}/_rejected"
+    for rows, place, more in ((outputs.where(F.size("errors") == 0), path, {"quarantine": rejected}), (outputs.where(F.size("errors") > 0), rejected, {"quarantine": path})):
+        columns = S.OUTPUT_COLUMNS if place == path else [*S.OUTPUT_COLUMNS, "errors"]
+        rows.select(name.alias("file"), body(*columns).alias("content")).write.format("per_file").options(path=place, **more).mode("append").save()
+
+
 def corpus_rows(results: DataFrame, sections: list[str] | None = None) -> DataFrame:
     """Title, authors, year, field, venue and the (named) sections of parsed papers."""
     kept = F.col("sections") if sections is None else F.map_filter("sections", lambda k, _: k.isin(*sections))

@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom import schemas as S
 from corpusloom.operators.identity import unseen_rows
-from corpusloom.sources.payloads import with_seq
+from corpusloom.sources.pages import PageSource
+from corpusloom.sources.payloads import oai_candidates, streamed_records, with_seq
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -30,6 +31,23 @@ def merge_batch(batch: DataFrame, path: str, epoch: int, *, empty_is_key: bool =
     unseen_rows(seen, rows, empty_is_key=empty_is_key).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
 
+def harvest_pages(spark: SparkSession, folder: str, sets: list[str] | None = None) -> DataFrame:
+    """Candidates of a store of recorded pages as a stream whose offsets are sets and resumption tokens."""
+    spark.dataSource.register(PageSource)
+    options = {"path": folder} | ({"sets": ",".join(sets)} if sets else {})
+    return oai_candidates(streamed_records(spark.readStream.format("harvest_pages").options(**options).load()))
+
+
+def start_page_harvest(spark: SparkSession, folder: str, path: str, checkpoint: str, *, sets: list[str] | None = None, empty_is_key: bool = True, **trigger) -> StreamingQuery:
+    """Follow a store of pages into the store of candidates; a run that is killed goes on at its token."""
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        merge_batch(batch, path, epoch, empty_is_key=empty_is_key)
+
+    stream = harvest_pages(spark, folder, sets)
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def start_harvest(spark: SparkSession, incoming: str, path: str, checkpoint: str, *, empty_is_key: bool = False, **trigger) -> StreamingQuery:
     """Follow a folder of candidate lines into the store; offsets and epochs live in ``checkpoint``."""
     stream = spark.readStream.schema(S.CANDIDATE).json(incoming)
