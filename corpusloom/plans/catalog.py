@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,8 +15,9 @@ from corpusloom.functions import quality as Q
 from corpusloom.functions import text as T
 from corpusloom.kernels.citing import Limits
 from corpusloom.operators import asof, fulltext, identity, ranking, resolution, sections, waves
-from corpusloom.session import spread
-from corpusloom.sources import payloads, sinks
+from corpusloom.session import shared_folder, spread
+from corpusloom.sources import payloads, perfile, sinks
+from corpusloom.streaming import harvest
 
 from .binding import CAND_SQL, candidates, cited_documents, sectioned, table
 
@@ -393,6 +396,31 @@ def harvest_by_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _harvested(spark, sf_dir, True)
 
 
+# Harvests
+
+
+@query(_with("select arxiv_id, title, year from (select arxiv_id, trim(regexp_replace(title, '\\s+', ' ', 'g')) as title, year from cand where arxiv_id is not null) where title <> ''"))
+def paged_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidates with an archive id, written as harvest pages that name one another by tokens, and streamed back."""
+    held = lambda c: F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    parts = ("<record><header><identifier>", F.col("seq").cast("string"), "</identifier></header><metadata><arXiv><id>", held(F.col("arxiv_id")), "</id><created>", F.col("year").cast("string"), "-01-01</created><title>", held(F.col("title")), "</title><categories>", held(F.get("keywords", F.lit(0))), "</categories></arXiv></metadata></record>")
+    record = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    rows = ranking.batches(candidates(spark, sf_dir).where("arxiv_id is not null").select("seq", record.alias("record")), 100, [F.asc("seq"), F.asc("record")])
+    bodies = rows.groupBy("batch").agg(F.array_join(F.sort_array(F.collect_list("record")), "").alias("body"))  # 100 records each
+    last = F.lit(rows.agg(F.max("batch")).first()[0] or 0)
+    token = lambda n: F.concat(F.lit("page-"), n.cast("string"))
+    behind = F.when(F.col("batch") < last, F.concat(F.lit("<resumptionToken>"), token(F.col("batch") + 1), F.lit("</resumptionToken>"))).otherwise("")
+    name = F.when(F.col("batch") == 0, "first.xml").otherwise(F.concat(F.sha1(token(F.col("batch"))), F.lit(".xml")))
+    base = f"{shared_folder(spark).rstrip('/').removeprefix('file://').removeprefix('file:')}/harvest-{uuid.uuid4().hex}"
+    spark.dataSource.register(perfile.FileSink)
+    os.makedirs(f"{base}/pages/0")
+    written = bodies.select(name.alias("file"), F.concat(F.lit("<OAI-PMH><ListRecords>"), "body", behind, F.lit("</ListRecords></OAI-PMH>")).alias("content"))
+    written.write.format("per_file").option("path", f"{base}/pages/0").mode("append").save()
+    stream = harvest.harvest_pages(spark, f"{base}/pages", ["0"]).select("arxiv_id", "title", "year")
+    stream.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("arxiv_id string, title string, year int").parquet(f"{base}/rows")
+
+
 # Sections and citations
 
 _SECT = """ls as (select doc_id, string_split(text, chr(10)) as l from documents where doc_id is not null and text is not null),
