@@ -180,16 +180,33 @@ def context_summary(contexts: Column, most: int = 2, size: int = 450) -> Column:
     return F.when(F.length(text) > size, F.concat(cut, F.lit("…"))).otherwise(text)
 
 
-def author_year_links(sentences: DataFrame, entries: DataFrame, numeric: DataFrame) -> DataFrame:
-    """Sentences that name an entry's surname and year, for entries that no number cites.
+def _words(text: Column) -> Column:
+    """The distinct runs of ASCII letters, digits and underscores of a text in lower case."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9_]+"), F.lit(0)))
 
-    ``sentences``: ``paper_id, ord, text``; ``entries``: ``paper_id, entry, surname, year``; ``numeric``:
-    ``paper_id, entry`` of entries with a numeric citation. Joined by paper, filtered by both words.
+
+def author_year_links(sentences: DataFrame, entries: DataFrame, numeric: DataFrame, most: int | None = None) -> DataFrame:
+    """Sentences that name an entry's surname and year, for entries that no number cites: the first ``most`` of each entry, or all.
+
+    ``sentences``: ``paper_id, ord, text``; ``entries``: ``paper_id, entry, surname, year``; ``numeric``: ``paper_id, entry`` of
+    entries with a numeric citation. Sentences are indexed by paper and pairs of a word with a digit and any word; an
+    entry looks up the first words of its year and surname, which a sentence that names both must have, and what is found is
+    verified in full. So rows grow with what may be a hit. Only entries whose surname or year has no ASCII word, or whose year begins with one
+    that has no digit, are compared with all sentences of their paper. Null texts, surnames and years link nothing.
     """
-    open_ = entries.join(numeric, ["paper_id", "entry"], "left_anti")
-    pairs = sentences.join(open_, "paper_id")
+    open_ = entries.join(numeric, ["paper_id", "entry"], "left_anti").where("surname is not null and year is not null")
+    open_ = open_.withColumns({"_w": F.get(_words(F.col("surname")), F.lit(0)), "_y": F.get(_words(F.col("year")), F.lit(0))})
+    indexed = F.col("_w").isNotNull() & F.coalesce(F.col("_y").rlike("[0-9]"), F.lit(False))
+    listed = sentences.where("text is not null").withColumn("_all", _words(F.col("text")))
+    index = listed.withColumn("_y", F.explode(F.filter("_all", lambda w: w.rlike("[0-9]")))).withColumn("_w", F.explode("_all")).drop("_all")
+    pairs = index.join(open_.where(indexed), ["paper_id", "_y", "_w"]).select("paper_id", "entry", "ord", "text", "surname", "year")
+    plain = listed.drop("_all").join(open_.where(~indexed), "paper_id").select(*pairs.columns)
     quoted = lambda c: F.concat(F.lit(r"(?is)\b\Q"), c, F.lit(r"\E\b"))
-    return pairs.where(F.regexp("text", quoted(F.col("surname"))) & F.regexp("text", quoted(F.col("year")))).select("paper_id", "entry", "ord")
+    found = pairs.unionByName(plain).where(F.regexp("text", quoted(F.col("surname"))) & F.regexp("text", quoted(F.col("year")))).select("paper_id", "entry", "ord")
+    if most is None:
+        return found
+    place = Window.partitionBy("paper_id", "entry").orderBy("ord")
+    return found.withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= most).drop("_n")
 
 
 def merge_reference_fields(structured: DataFrame, parsed: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from corpusloom import constants as K
 from corpusloom.functions import quality as Q
 from corpusloom.functions import text as T
 from corpusloom.kernels.citing import Limits
-from corpusloom.operators import asof, fulltext, identity, ranking, resolution, sections, waves
+from corpusloom.operators import asof, fulltext, identity, ranking, resolution, runs, sections, waves
 from corpusloom.session import shared_folder, spread
 from corpusloom.sources import payloads, perfile, sinks
 from corpusloom.streaming import harvest
@@ -474,6 +474,27 @@ def sections_at_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", fulltext.section_at(starts, F.col("event_id") % 100).alias("section"))
 
 
+_LINES = """lines as (select doc_id, ln, line, coalesce(nullif(regexp_extract(line, '[A-Za-z]+', 0), ''), 'none') as word from
+  (select doc_id, unnest(range(len(ls))) as ln, unnest(ls) as line from (select doc_id, string_split(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g'), chr(10)) as ls from documents where doc_id is not null and text is not null)))"""
+
+
+@query(f"""with {_LINES}, s as (select doc_id, ln, line || ' (' || upper(word) || ' et al., ' || (2000 + ln % 7) || ')' as text from lines),
+  e as (select doc_id, ln as entry, word, 2000 + ln % 7 as year from lines where ln % 3 <> 0)
+  select paper_id, entry, ord from (
+    select s.doc_id::varchar as paper_id, cast(entry as int) as entry, cast(ln as int) as ord, row_number() over (partition by s.doc_id, entry order by ln) as i
+    from s join e on s.doc_id = e.doc_id and regexp_matches(s.text, '(?is)\\b' || e.word || '\\b') and regexp_matches(s.text, '\\b' || e.year || '\\b')) where i <= 2""")
+def author_year_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two lines that name the first word and the year of a line's entry; every third entry is cited by number."""
+    d = spread(table(spark, sf_dir, "documents").where("doc_id is not null and text is not null"))
+    ascii_ = F.regexp_replace("text", r"[^\x00-\x7F]", "")
+    lines = d.select(F.col("doc_id").cast("string").alias("paper_id"), F.posexplode(F.split(ascii_, "\n", -1)).alias("ord", "line"))
+    word = T.first_filled(F.regexp_extract("line", "[A-Za-z]+", 0), F.lit("none"))
+    year = (2000 + F.col("ord") % 7).cast("string")
+    sentences = lines.select("paper_id", "ord", F.concat("line", F.lit(" ("), F.upper(word), F.lit(" et al., "), year, F.lit(")")).alias("text"))
+    entries = lines.select("paper_id", F.col("ord").alias("entry"), word.alias("surname"), year.alias("year"))
+    return runs.author_year_links(sentences, entries, entries.where("entry % 3 = 0").select("paper_id", "entry"), most=2)
+
+
 @query("""select e.event_id, p.v as last_error from events e asof left join
   (select user_id, ts, max(value) as v from events where event_type = 'error' and user_id is not null and ts is not null and value is not null group by all) p
   on e.user_id = p.user_id and e.ts >= p.ts""")
