@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.skew import join_frequent  # noqa: F401
 from corpusloom.session import durable
 
 #: ASCII white space as the contracts define it; everything else belongs to a word.
@@ -67,15 +68,7 @@ def same_row(key: Column, text: Column, stratum: Column) -> tuple[Column, Column
     return F.coalesce(key.cast("string"), F.lit("")), F.coalesce(F.md5(text.cast("string").cast("binary")), F.lit("")), stratum
 
 
-def join_frequent(left: DataFrame, right: DataFrame, on: str, share: int = 1024) -> DataFrame:
-    """The inner join of a durable ``left`` with ``right``, whose keys are unique, where some keys may be very frequent in ``left``.
-
-    A key that holds over 1/``share`` of the rows on the left is broadcast with its row on the right: there are fewer
-    than ``share`` of those, whatever the input. All others meet in a shuffle, none of them a large part of it.
-    """
-    counts = left.groupBy(on).agg(F.count("*").alias("_n")).where(F.col("_n") * share > left.count()).select(on)
-    hot = durable(right.join(F.broadcast(counts), on, "left_semi"))
-    if hot.isEmpty():
-        return left.join(right, on)
-    rest = left.join(F.broadcast(hot.select(on)), on, "left_anti")
-    return rest.join(right, on).unionByName(left.join(F.broadcast(hot), on))
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this run has written, wherever Spark keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

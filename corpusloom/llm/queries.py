@@ -77,7 +77,7 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), outputs=("n_removed", "n_spans", "kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,14 +1,14 @@
 """Byte strings that repeat, by threshold-bounded interval expansion on Burrows-Wheeler transforms.
 
-A byte goes if some string of ``width`` bytes over it also starts anywhere else. Equal texts are one row
-with a weight from the start. The windows (strings of ``width`` bytes) of a text are dealt by their
+A byte goes if some string of ``width`` bytes over it also starts anywhere else. The windows (strings of ``width`` bytes) of a text are dealt by their
 minimizer, the least hash of their grams of ``GRAM`` bytes: equal windows have equal minimizers, and
 neighbours share theirs, so a run of windows travels as one chunk of bytes. Minimizers that stand at one
-place only are dropped first, by counts of hashes, so only what may repeat is shipped; equal chunks are one.
+place only are dropped first, by counts of hashes, so only what may repeat is shipped, and a task ships equal
+chunks once, with a weight. Texts are named by their MD5.
 
 A task takes whole minimizer groups up to some MB, sorts their suffixes by ``width`` bytes and forms the
-Burrows-Wheeler transform. From the interval of the empty string it extends intervals backwards, breadth
-first: the interval of a string of n bytes becomes those of the strings of n + 1 bytes that end with it.
+Burrows-Wheeler transform. From the intervals of all strings of eight bytes, which the sort gives, it extends
+intervals backwards, breadth first: the interval of a string of n bytes becomes those of the strings of n + 1 bytes that end with it.
 An interval that ends at a boundary seen first marks it: its neighbours share n bytes and no more, so
 common prefixes are derived by increasing value, each boundary once, and the search stops at ``width``
 bytes. Suffixes with no marked boundary between them share ``width`` bytes or more: they are the repeats.
@@ -26,19 +26,25 @@ null or not, are only handed on; other columns are left out; an empty table give
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, join_frequent
+from corpusloom.session import shared_folder, spread
+
+from .common import durable, join_frequent, remove_folder
 
 #: Bytes of a gram, of texts that are hashed together, of chunks in one transform, and of one group at most.
-GRAM, BLOCK, CHUNKS, GROUP_BYTES = 64, 1 << 20, 1 << 20, 1 << 25
-#: Places from which a minimizer is dealt by ``STEP`` windows at a time; bits of the bitmap of repeated minimizers.
-HOT, STEP, BITMAP_BITS = 1024, 8, 26
+GRAM, BLOCK, CHUNKS, GROUP_BYTES = 64, 1 << 19, 1 << 19, 900_000
+#: Places from which a minimizer is dealt by ``STEP`` windows at a time; bits of the bitmaps of minimizers and texts.
+HOT, STEP, BITMAP_BITS = 1 << 11, 8, 26
+#: Bytes of distinct chunks that a task holds back to send each once; rows that are turned into Python values together.
+HELD, ROWS = 1 << 23, 128
 _ODD, _SEPARATOR = 0x9E3779B97F4A7C15, 0xFF  # no byte of UTF-8 is 0xFF
 
 
@@ -98,25 +104,36 @@ def minimizers(block: np.ndarray, ends: np.ndarray, width: int, gram: int = GRAM
     return first, stops, at[first], h[at[first]]
 
 
+def _heads(s: np.ndarray, n: int) -> np.ndarray:
+    """The next ``n`` (at most eight) bytes of each place as a number; behind the end stand separators."""
+    padded = np.concatenate([s, np.full(8, _SEPARATOR, np.uint8)])
+    key = np.zeros(len(s), np.uint64)
+    for i in range(n):
+        key = (key << np.uint64(8)) | padded[i : i + len(s)]
+    return key
+
+
 def suffix_order(s: np.ndarray, width: int) -> np.ndarray:
     """Positions of ``s`` in the order of their next ``width`` bytes."""
-    padded = np.concatenate([s, np.full(width + 8, _SEPARATOR, np.uint8)])
-    key = np.zeros(len(padded), np.uint64)
-    for i in range(8):
-        key[: len(padded) - i] |= padded[i:].astype(np.uint64) << np.uint64(8 * (7 - i))
     done = min(8, width)
-    if done < 8:
-        key >>= np.uint64(8 * (8 - done))
+    padded = np.concatenate([s, np.full(width, _SEPARATOR, np.uint8)])
+    key = _heads(padded, done)
+    bits = max(21, len(padded).bit_length())  # of a rank; three ranks make a key where they fit
     while True:
         order = np.argsort(key)
-        ordered = key[order]
         if done == width:
             return order[order < len(s)]
+        ordered = key[order]
         rank = np.empty(len(key), np.uint64)
         rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1]))).astype(np.uint64)
-        step = min(done, width - done)
-        ahead = np.concatenate([rank[step:], np.full(step, rank[-1], np.uint64)])
-        key, done = (rank << np.uint64(32)) | ahead, done + step
+        key, known = rank.copy(), done
+        for _ in range(64 // bits - 1):
+            step = min(done, width - known)
+            if step:
+                key <<= np.uint64(bits)
+                key[: len(key) - known - step + done] |= rank[known + step - done :]
+                known += step
+        done = known
 
 
 def common_prefix_boundaries(s: np.ndarray, order: np.ndarray, width: int) -> np.ndarray:
@@ -126,19 +143,20 @@ def common_prefix_boundaries(s: np.ndarray, order: np.ndarray, width: int) -> np
     by_byte = np.argsort(before, kind="stable")
     step_back = np.empty(n, np.int64)
     step_back[by_byte] = np.arange(n)
+    known = min(8, width)
+    heads = _heads(s, known)[order]
+    low = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
+    high = np.append(low[1:], n)
     marked = np.zeros(n + 1, bool)
-    marked[[0, n]] = True
-    counts = np.bincount(before, minlength=256)
-    high = np.cumsum(counts)[counts > 0]
-    low = high - counts[counts > 0]
-    marked[high] = True
+    marked[low] = marked[n] = True
+    edges = np.flatnonzero(before[1:] != before[:-1]) + 1
+    run_end = np.append(edges, n)[np.searchsorted(edges, np.arange(n), "right")]  # of equal preceding bytes
     owner = np.empty(n, np.int64)
-    for _ in range(1, width):
-        size = high - low
-        one = size == 1
-        new_low = [step_back[low[one]]]
-        new_high = [new_low[0] + 1]
-        a, z = low[~one], high[~one]
+    for _ in range(known, width):
+        plain = run_end[low] >= high  # one byte precedes the whole interval
+        new_low = [step_back[low[plain]]]
+        new_high = [new_low[0] + (high - low)[plain]]
+        a, z = low[~plain], high[~plain]
         if len(a):
             size = z - a
             ends = np.cumsum(size)
@@ -205,19 +223,41 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _count_minimizers(width: int):
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            yield batch.slice(i, ROWS)
+
+
+def _list_minimizers(width: int):
+    """``keys, marks``: the minimizers of some texts, and packed beside them text, first and last window and place of each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weight = batch.column("m").to_numpy()
-            for block, ends, number, _ in _blocks(enumerate(batch.column("text").to_pylist()), width):
-                first, _, _, key = minimizers(block, ends, width)
-                keys, where = np.unique(key, return_inverse=True)
-                n = np.bincount(where, weight[number[np.searchsorted(ends, first, "right")]], len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(n)], ["key", "n"])
+            hashes = batch.column("h")
+            texts = (t.as_py() for t in batch.column("text"))
+            for block, ends, number, offset in _blocks(enumerate(texts), width):
+                first, last, at, key = minimizers(block, ends, width)
+                if not len(key):
+                    continue
+                piece = np.searchsorted(ends, first, "right")
+                shift = offset[piece] - np.concatenate(([0], ends[:-1]))[piece]
+                used, text = np.unique(number[piece], return_inverse=True)
+                names = b"".join(hashes.take(pa.array(used)).to_pylist())
+                marks = np.column_stack([text, first + shift, last - first, at - first]).astype(np.int64).tobytes()
+                columns = [[key.tobytes()], [zstandard.compress(marks, 1)], [names]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["keys", "marks", "names"])
 
     return run
 
 
+def _count_minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for packed in batch.column(0):
+            keys, n = np.unique(np.frombuffer(packed.as_py(), np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(n)], ["key", "n"])
+
+
 def _marked(keys: DataFrame) -> np.ndarray:
     """A bitmap with the last ``BITMAP_BITS`` bits of every ``key``."""
     word = F.shiftright(F.col("key").bitwiseAND((1 << BITMAP_BITS) - 1), 6).alias("w")
@@ -230,100 +270,130 @@ def _marked(keys: DataFrame) -> np.ndarray:
 _MARK = "h binary, first long, last long, at long, key long"
 
 
-def _list_marks(width: int, shared):
+def _repeated_marks(shared):
     """Runs of windows whose minimizer may repeat: the bitmap lets all repeated ones by, and a few more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            for block, ends, number, offset in _blocks(enumerate(batch.column("text").to_pylist()), width):
-                first, last, at, key = minimizers(block, ends, width)
+            for packed, marks, names in zip(*batch.columns):
+                key = np.frombuffer(packed.as_py(), np.uint64)
                 low = (key & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
                 some = (bits[low >> 6] >> (low & 63)) & 1 == 1
-                first, last, at, key = first[some], last[some], at[some], key[some]
-                piece = np.searchsorted(ends, first, "right")
-                shift = offset[piece] - np.concatenate(([0], ends[:-1]))[piece]
-                texts = batch.column("h").take(pa.array(number[piece]))
-                yield pa.RecordBatch.from_arrays([texts, pa.array(first + shift), pa.array(last + shift), pa.array(at + shift), _signed(key)], ["h", "first", "last", "at", "key"])
+                text, first, long, at = np.frombuffer(zstandard.decompress(marks.as_py()), np.int64).reshape(-1, 4)[some].T
+                names = names.as_py()
+                own = pa.array([names[i : i + 16] for i in range(0, len(names), 16)], pa.binary()).take(pa.array(text))
+                yield pa.RecordBatch.from_arrays([own, pa.array(first), pa.array(first + long), pa.array(first + at), _signed(key[some])], ["h", "first", "last", "at", "key"])
 
     return run
 
 
-_CHUNK = "h binary, start long, key long, chunk binary, m int, hot boolean"
+_CHUNK = "h binary, start long, cid binary, key long, chunk binary, m int"
+
+
+def _pieces(text: bytes, first: int, last: int, at: int, key: int, hot: bool, width: int) -> Iterator[tuple[int, int, bytes]]:
+    """(start, key, bytes) of a marked run; a hot minimizer's is cut by ``STEP`` windows and dealt by what those share."""
+    if not hot:
+        yield first, key, text[first : last + width]
+        return
+    for j in range((at - last) // STEP, (at - first) // STEP + 1):
+        a, z = max(first, at - STEP * j - STEP + 1), min(last, at - STEP * j)
+        core = text[at - STEP * j : at - STEP * j - STEP + 1 + width]
+        digest = hashlib.blake2b(core, digest_size=8, key=j.to_bytes(4, "little")).digest()
+        yield a, int.from_bytes(digest, "little", signed=True), text[a : z + width]
 
 
 def _cut_chunks(width: int):
-    """The bytes of marked runs; runs of a hot minimizer are cut by ``STEP`` windows and dealt by what those share."""
+    """A row for each chunk's place (``h, start, cid``), and one for its bytes (``cid, key, chunk, m``) as often as the task has to let go of them."""
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["h", "start", "cid", "key", "chunk", "m"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, used = [], 0
-            for h, m, text, marks in zip(*(batch.column(c).to_pylist() for c in ("h", "m", "text", "marks"))):
-                for mark in marks:
-                    first, last, at, key = mark["first"], mark["last"], mark["at"], mark["key"]
-                    if not mark["hot"]:
-                        rows.append((h, first, key, text[first : last + width], m, False))
-                        used += last + width - first
-                        continue
-                    for j in range((at - last) // STEP, (at - first) // STEP + 1):
-                        a, z = max(first, at - STEP * j - STEP + 1), min(last, at - STEP * j)
-                        core = text[at - STEP * j : at - STEP * j - STEP + 1 + width]
-                        digest = hashlib.blake2b(core, digest_size=8, key=j.to_bytes(4, "little")).digest()
-                        rows.append((h, a, int.from_bytes(digest, "little", signed=True), text[a : z + width], m, True))
-                        used += z + width - a
-                if used > 1 << 23:
-                    yield _table(rows)
-                    rows, used = [], 0
-            if rows:
-                yield _table(rows)
+        held: dict[bytes, list] = {}
+        size = 0
+        for batch in _slices(batches):
+            places = []
+            lists = batch.column("marks")
+            fields = [f.to_pylist() for f in lists.flatten().flatten()]
+            ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))).tolist()
+            for i, (h, text) in enumerate(zip(batch.column("h").to_pylist(), batch.column("text").to_pylist())):
+                for mark in zip(*(f[ends[i] : ends[i + 1]] for f in fields)):
+                    for start, key, chunk in _pieces(text, *mark, width):
+                        cid = hashlib.md5(chunk).digest()
+                        places.append((h, start, cid, None, None, None))
+                        if cid in held:
+                            held[cid][2] = 2  # twice is as good as often
+                        else:
+                            held[cid] = [key, chunk, 1]
+                            size += len(chunk)
+                if size > HELD:
+                    yield table([(None, None, c, *row) for c, row in held.items()])
+                    held, size = {}, 0
+            if places:
+                yield table(places)
+        if held:
+            yield table([(None, None, c, *row) for c, row in held.items()])
 
     return run
 
 
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.bool_()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["h", "start", "key", "chunk", "m", "hot"])
-
-
 _FOUND = "cid binary, first array<int>, last array<int>, chunk binary, m int"
 
 
 def _transform(width: int, enough: int, most: int):
-    """Sorted ``key, cid, chunk, m`` rows to the repeated windows of each chunk; a group beyond bounds is handed on as it is."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready: list[tuple] = []  # whole groups
-        group: list[tuple] = []
-        size, own, last, over = 0, 0, None, False
-
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            types = [pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["cid", "first", "last", "chunk", "m"])
-
-        def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            found = repeated_windows([c for _, c, _ in rows], [m for *_, m in rows], width)
-            hits = [(cid, [a for a, _ in f], [z for _, z in f], None, None) for (cid, *_), f in zip(rows, found) if f]
-            if hits:
-                yield out(hits)
-
+    """``key, cid, chunk, m`` rows sorted by key and cid to the repeated windows of each chunk; a group beyond bounds is handed on as it is."""
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["cid", "first", "last", "chunk", "m"])
+
+    def settle(rows: list[list]) -> Iterator[pa.RecordBatch]:
+        found = repeated_windows([c for _, c, _ in rows], [m for *_, m in rows], width)
+        hits = [(cid, [a for a, _ in f], [z for _, z in f], None, None) for (cid, *_), f in zip(rows, found) if f]
+        if hits:
+            yield out(hits)
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[list], bool]]:
+        """(distinct chunks of one key with their weights, whether they are only a part of it)."""
+        group: list[list] = []
+        size, last, over = 0, None, False
         for batch in batches:
             for key, cid, chunk, m in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != last:
-                    if sum(w for *_, w in group) > 1:  # a chunk that is alone in its group and in its text repeats nothing
-                        ready += group
-                        size += own
-                    group, own, last, over = [], 0, key, False
-                    if size >= enough:
-                        yield from settle(ready)
-                        ready, size = [], 0
-                group.append((cid, chunk, m))
-                own += len(chunk)
-                if own > most or over:
+                    if group:
+                        yield group, over
+                    group, size, last, over = [], 0, key, False
+                if group and group[-1][0] == cid:
+                    group[-1][2] += m
+                    continue
+                if size > most:
                     over = True
-                    yield out([(c, None, None, b, w) for c, b, w in group])
-                    group, own = [], 0
-        if sum(w for *_, w in group) > 1:
-            ready += group
+                    yield group, over
+                    group, size = [], 0
+                group.append([cid, chunk, m])
+                size += len(chunk)
+        if group:
+            yield group, over
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready, size = [], 0
+        for group, part in groups(batches):
+            own = sum(len(c) for _, c, _ in group)
+            if size and size + own > max(enough, most):
+                yield from settle(ready)
+                ready, size = [], 0
+            if part:
+                yield out([(cid, None, None, chunk, m) for cid, chunk, m in group])
+            elif len(group) > 1:
+                ready += group
+                size += own
+            elif group[0][2] > 1:  # alone in its group and at two places: all its windows are
+                yield out([(group[0][0], [0], [len(group[0][1]) - width], None, None)])
+            if size >= enough:
+                yield from settle(ready)
+                ready, size = [], 0
         if ready:
             yield from settle(ready)
 
@@ -340,63 +410,97 @@ def _window_by_window(todo: DataFrame, width: int) -> DataFrame:
 
 def _finish(width: int, outputs: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for h, text, hits in zip(*(batch.column(c).to_pylist() for c in ("h", "text", "hits"))):
                 spans: list[list[int]] = []
-                for a, z in sorted((x["a"], x["z"]) for x in hits or ()):
+                for a, z in sorted((x["a"], x["z"]) for x in hits):
                     if spans and a <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], z + width)
                     else:
                         spans.append([a, z + width])
                 edges = [0, *(x for s in spans for x in s), len(text)]
                 kept = b"".join(text[a:z] for a, z in zip(edges[::2], edges[1::2]))
-                row = {"n_bytes": len(text), "n_removed": len(text) - len(kept), "n_spans": len(spans)}
-                if "kept_sha256" in outputs:
-                    row["kept_sha256"] = hashlib.sha256(kept).hexdigest()
-                rows.append((h, *({"kept": kept, "spans": [{"start": a, "end": z} for a, z in spans], **row}[o] for o in outputs)))
-            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.binary(), *(_ARROW[o] for o in outputs)])] if rows else []
+                made = {"n_removed": len(text) - len(kept), "n_spans": len(spans), "kept": kept, "spans": [{"start": a, "end": z} for a, z in spans]}
+                made["kept_sha256"] = hashlib.sha256(kept).hexdigest()
+                rows.append((h, *(made[o] for o in outputs)))
             if rows:
-                yield pa.RecordBatch.from_arrays(arrays, ["h", *outputs])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.binary(), *(_ARROW[o] for o in outputs)])], ["h", *outputs])
 
     return run
 
 
-_TYPES = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "kept": "binary", "spans": "array<struct<start:bigint,end:bigint>>"}
-_ARROW = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "kept": pa.binary(), "spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
+_TYPES = {"n_removed": "long", "n_spans": "long", "kept_sha256": "string", "kept": "binary", "spans": "array<struct<start:bigint,end:bigint>>"}
+_ARROW = {"n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "kept": pa.binary(), "spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
+
+
+def _whole(name: str) -> Column:
+    """An output of a text without repeats."""
+    value = {"kept_sha256": lambda: F.sha2("text", 256), "kept": lambda: F.col("text"), "spans": lambda: F.array()}.get(name, lambda: F.lit(0))()
+    return value.cast(_TYPES[name]).alias(name)
+
 
+def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` (``h, text``) without most of those whose ``h`` is not ``wanted``: a bitmap keeps their texts out of the shuffle."""
+    bits_of = F.xxhash64("h").alias("key")
+    shared = rows.sparkSession.sparkContext.broadcast(_marked(wanted.select(bits_of)))  # 1 << BITMAP_BITS bits
 
-def _hits(texts: DataFrame, width: int) -> DataFrame:
-    """``h, a, z``: first and last start of runs of repeated windows in distinct ``texts`` (``h``, ``m``, ``text``)."""
-    counted = texts.select("m", "text").mapInArrow(_count_minimizers(width), "key long, n long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            low = batch.column(2).to_numpy() & ((1 << BITMAP_BITS) - 1)
+            yield batch.filter(pa.array((bits[low >> 6] >> (low & 63)) & 1 == 1)).select(["h", "text"])
+
+    return rows.select("h", "text", bits_of).mapInArrow(run, "h binary, text binary")
+
+
+def _written(rows: DataFrame, folder: str) -> DataFrame:
+    """``rows`` as a compressed table in the shared folder."""
+    rows.write.option("compression", "zstd").parquet(folder)
+    return rows.sparkSession.read.parquet(folder)
+
+
+def _hits(texts: DataFrame, names: DataFrame, width: int, folder: str) -> DataFrame:
+    """``h, hits``: first and last starts of the runs of repeated windows, for texts that have any."""
+    packed = _written(texts.select("h", "text").mapInArrow(_list_minimizers(width), "keys binary, marks binary, names binary"), f"{folder}/minimizers")
+    counted = packed.select("keys").mapInArrow(_count_minimizers, "key long, n long")
     often = durable(counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot")))
     shared = texts.sparkSession.sparkContext.broadcast(_marked(often))  # 1 << BITMAP_BITS bits
-    marks = texts.select("h", "text").mapInArrow(_list_marks(width, shared), _MARK)
-    marks = join_frequent(durable(marks), often, "key").groupBy("h").agg(F.collect_list(F.struct("first", "last", "at", "key", "hot")).alias("marks"))
-    chunks = durable(texts.join(marks, "h").mapInArrow(_cut_chunks(width), _CHUNK).withColumn("cid", F.unhex(F.md5("chunk"))))
-    places = chunks.select("h", "start", "cid")
-    distinct = chunks.groupBy("key", "cid").agg(F.first("chunk").alias("chunk"), F.least(F.sum("m"), F.lit(2)).cast("int").alias("m"))
-    dealt = distinct.repartition("key").sortWithinPartitions("key").select("key", "cid", "chunk", "m")
-    found = durable(dealt.mapInArrow(_transform(width, CHUNKS, GROUP_BYTES), _FOUND))
+    listed = _written(packed.mapInArrow(_repeated_marks(shared), _MARK), f"{folder}/marks")
+    marks = join_frequent(listed, often, "key").groupBy("h").agg(F.collect_set(F.struct("first", "last", "at", "key", "hot")).alias("marks"))
+    marks = _written(marks, f"{folder}/runs")
+    cut = join_frequent(_only(texts, marks), marks, "h", keys=names).select("h", "text", "marks").mapInArrow(_cut_chunks(width), _CHUNK)
+    chunks = _written(cut, f"{folder}/chunks")
+    bodies = chunks.where("chunk is not null").select("key", "cid", "chunk", "m")
+    found = durable(bodies.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(_transform(width, CHUNKS, GROUP_BYTES), _FOUND))
     answers = found.where("chunk is null").select("cid", "first", "last")
     todo = found.where("chunk is not null")
     if not todo.isEmpty():
-        answers = answers.unionByName(_window_by_window(todo, width))
-    joined = join_frequent(places, durable(answers), "cid")
-    runs = joined.select("h", "start", F.explode(F.arrays_zip("first", "last")).alias("x"))
-    return runs.select("h", (F.col("start") + F.col("x.first")).alias("a"), (F.col("start") + F.col("x.last")).alias("z"))
+        answers = durable(answers.unionByName(_window_by_window(todo, width)))
+    joined = join_frequent(chunks.where("h is not null").select("h", "start", "cid"), answers, "cid")
+    each = joined.select("h", "start", F.explode(F.arrays_zip("first", "last")).alias("x"))
+    hit = F.struct((F.col("start") + F.col("x.first")).alias("a"), (F.col("start") + F.col("x.last")).alias("z"))
+    return _written(each.groupBy("h").agg(F.collect_set(hit).alias("hits")), f"{folder}/hits")
 
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 200, outputs: tuple[str, ...] = ("spans", "kept")) -> DataFrame:
-    """``doc_id`` and the named outputs, a row per row: spans (removed byte ranges), kept (the remaining bytes), n_bytes, n_removed, n_spans, kept_sha256."""
+    """``doc_id, n_bytes`` and the named outputs, a row per row: spans (removed byte ranges), kept (the remaining bytes), n_removed, n_spans, kept_sha256.
+
+    What is shared by tasks is written below the shared folder and deleted at the end.
+    """
     if width < GRAM + STEP:
         raise ValueError(f"strings of under {GRAM + STEP} bytes are not supported")
+    spark = docs.sparkSession
+    folder = f"{shared_folder(spark).rstrip('/')}/repeats-{uuid.uuid4().hex}"
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(key).alias("doc_id"), body.alias("text"))
-    keyed = durable(rows.select("doc_id", F.unhex(F.md5("text")).alias("h")))
-    texts = rows.groupBy(F.unhex(F.md5("text")).alias("h")).agg(F.first("text").alias("text"), F.least(F.count("*"), F.lit(2)).cast("int").alias("m"))
-    texts = durable(texts)
-    hits = _hits(texts, width).groupBy("h").agg(F.collect_list(F.struct("a", "z")).alias("hits"))
+    rows = spread(docs.select(F.col(key).alias("doc_id"), body.alias("text")).withColumn("h", F.unhex(F.md5("text"))))
+    names = durable(rows.select("h"))
+    hits = _hits(rows.select("h", "text"), names, width, folder)
     schema = ", ".join(["h binary", *(f"{o} {_TYPES[o]}" for o in outputs)])
-    done = texts.join(hits, "h", "left").select("h", "text", "hits").mapInArrow(_finish(width, outputs), schema)
-    return join_frequent(keyed, durable(done), "h").select("doc_id", *outputs)
+    edited = join_frequent(_only(rows, hits), hits, "h", keys=names).select("h", "text", "hits").mapInArrow(_finish(width, outputs), schema)
+    done = durable(edited.dropDuplicates(["h"]).withColumnsRenamed({o: f"_{o}" for o in outputs}).withColumn("_hit", F.lit(True)))
+    whole = rows.select("doc_id", "h", F.octet_length("text").cast("long").alias("n_bytes"), *[_whole(o) for o in outputs])
+    joined = join_frequent(whole, done, "h", how="left", keys=names)
+    out = durable(joined.select("doc_id", "n_bytes", *[F.when(F.col("_hit"), F.col(f"_{o}")).otherwise(F.col(o)).alias(o) for o in outputs]))
+    remove_folder(spark, folder)
+    return out
