@@ -38,6 +38,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 BLOCK_BYTES = 8 << 20
+#: How hard texts, words and answers are compressed for the shuffle.
+LEVEL = 9
 #: Ids that are decoded together.
 DECODED = 1 << 18
 #: Unicode White_Space, the tokenizer pattern's \\s. Fixed values.
@@ -74,6 +76,7 @@ class Codec:
         for piece, i in pieces.items():
             known = all(c in byte_of for c in piece)
             self.pieces[i] = bytes(byte_of[c] for c in piece) if known else piece.encode()
+        self.wire = "<u2" if len(self.pieces) <= 1 << 16 else "<u4"  # of ids between tasks
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
         self.flat = np.frombuffer(b"".join(self.pieces), np.uint8)
@@ -149,7 +152,7 @@ def _dealt(words: Iterable[str], parts: int) -> list[list[str]]:
 
 
 def _pack_words(words: list[str]) -> bytes:
-    return zstandard.compress("\0".join(w.replace("\0", "\0\0") if "\0" in w else w for w in words).encode(), 3) if not any("\0" in w for w in words) else b"J" + json.dumps(words).encode()
+    return zstandard.compress("\0".join(w.replace("\0", "\0\0") if "\0" in w else w for w in words).encode(), LEVEL) if not any("\0" in w for w in words) else b"J" + json.dumps(words).encode()
 
 
 def _unpack_words(blob: bytes) -> list[str]:
@@ -188,8 +191,8 @@ def _answer(path: str):
                 known.update(zip(new, codec.encode_words(new)))
                 ids = [known[w] for w in words]
                 lengths = np.array([len(x) // 4 for x in ids], np.uint32)
-                packed = lengths.tobytes() + b"".join(ids)
-                yield _row(block, part, struct.pack("<QI", xxhash.xxh64_intdigest(blob), len(ids)) + zstandard.compress(packed, 3))
+                packed = lengths.tobytes() + np.frombuffer(b"".join(ids), "<u4").astype(codec.wire).tobytes()
+                yield _row(block, part, struct.pack("<QI", xxhash.xxh64_intdigest(blob), len(ids)) + zstandard.compress(packed, LEVEL))
 
     return run
 
@@ -201,7 +204,7 @@ def _pack_texts(size: int):
             table = pa.record_batch([keys, pa.array(texts, pa.large_string())], ["doc_id", "text"])
             with pa.ipc.new_stream(sink, table.schema) as out:
                 out.write_batch(table)
-            yield _row(block, -1, zstandard.compress(sink.getvalue(), 3))
+            yield _row(block, -1, zstandard.compress(sink.getvalue(), LEVEL))
 
     return run
 
@@ -228,8 +231,9 @@ def _join_back(path: str, parts: int, outputs: tuple[str, ...], schema: pa.Schem
                 ids = codec.encode_words(words)
             else:
                 raw = zstandard.decompress(answers.pop(part)[12:])
-                ends = (4 * n + 4 * np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64)).tolist()
-                ids = [raw[a:z] for a, z in zip([4 * n, *ends[:-1]], ends)]
+                ends = (4 * np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64)).tolist()
+                flat = np.frombuffer(raw, codec.wire, offset=4 * n).astype("<u4").tobytes()
+                ids = [flat[a:z] for a, z in zip([0, *ends[:-1]], ends)]
             for w, x in zip(words, ids):
                 found[seen[w]] = x
         del seen
