@@ -43,6 +43,9 @@ from .common import durable, join_frequent, remove_folder
 GRAM, BLOCK, CHUNKS, GROUP_BYTES = 64, 1 << 19, 1 << 19, 900_000
 #: Places from which a minimizer is dealt by ``STEP`` windows at a time; bits of the bitmaps of minimizers and texts.
 HOT, STEP, BITMAP_BITS = 1 << 11, 8, 26
+#: Repeated minimizers up to which the bitmap alone tells them well enough; beyond, they are joined. What else the bitmap lets by
+#: is alone in its group and falls there, so the result is the same.
+SPARSE = 1 << (BITMAP_BITS - 3)
 #: Bytes of distinct chunks that a task holds back to send each once; rows that are turned into Python values together.
 HELD, ROWS = 1 << 23, 128
 _ODD, _SEPARATOR = 0x9E3779B97F4A7C15, 0xFF  # no byte of UTF-8 is 0xFF
@@ -288,6 +291,33 @@ def _repeated_marks(shared):
     return run
 
 
+_MARKS = "array<struct<first:bigint,last:bigint,at:bigint,key:bigint,hot:boolean>>"
+
+
+def _grouped_marks(shared):
+    """The marks of each piece of a text as one list; minimizers that may repeat and that may be hot are told by bitmaps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeated, hot = shared.value
+        for batch in batches:
+            for packed, marks, names in zip(*batch.columns):
+                key = np.frombuffer(packed.as_py(), np.uint64)
+                low = (key & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
+                some = (repeated[low >> 6] >> (low & 63)) & 1 == 1
+                text, first, long, at = np.frombuffer(zstandard.decompress(marks.as_py()), np.int64).reshape(-1, 4)[some].T
+                if not len(text):
+                    continue
+                low = low[some]
+                starts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+                columns = [pa.array(first), pa.array(first + long), pa.array(first + at), _signed(key[some]), pa.array((hot[low >> 6] >> (low & 63)) & 1 == 1)]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(text)), pa.int32()), pa.StructArray.from_arrays(columns, ["first", "last", "at", "key", "hot"]))
+                names = names.as_py()
+                own = [names[16 * i : 16 * i + 16] for i in text[starts].tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), lists], ["h", "marks"])
+
+    return run
+
+
 _CHUNK = "h binary, start long, cid binary, key long, chunk binary, m int"
 
 
@@ -319,7 +349,7 @@ def _cut_chunks(width: int):
             fields = [f.to_pylist() for f in lists.flatten().flatten()]
             ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))).tolist()
             for i, (h, text) in enumerate(zip(batch.column("h").to_pylist(), batch.column("text").to_pylist())):
-                for mark in zip(*(f[ends[i] : ends[i + 1]] for f in fields)):
+                for mark in dict.fromkeys(zip(*(f[ends[i] : ends[i + 1]] for f in fields))):
                     for start, key, chunk in _pieces(text, *mark, width):
                         cid = hashlib.md5(chunk).digest()
                         places.append((h, start, cid, None, None, None))
@@ -465,9 +495,15 @@ def _hits(texts: DataFrame, names: DataFrame, width: int, folder: str) -> DataFr
     packed = _written(texts.select("h", "text").mapInArrow(_list_minimizers(width), "keys binary, marks binary, names binary"), f"{folder}/minimizers")
     counted = packed.select("keys").mapInArrow(_count_minimizers, "key long, n long")
     often = durable(counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot")))
-    shared = texts.sparkSession.sparkContext.broadcast(_marked(often))  # 1 << BITMAP_BITS bits
-    listed = _written(packed.mapInArrow(_repeated_marks(shared), _MARK), f"{folder}/marks")
-    marks = join_frequent(listed, often, "key").groupBy("h").agg(F.collect_set(F.struct("first", "last", "at", "key", "hot")).alias("marks"))
+    broadcast = texts.sparkSession.sparkContext.broadcast  # of 1 << BITMAP_BITS bits each
+    if often.count() < SPARSE:
+        shared = broadcast((_marked(often), _marked(often.where("hot"))))
+        listed = packed.mapInArrow(_grouped_marks(shared), f"h binary, marks {_MARKS}")
+        # Copies of a long text may be cut into lists in different ways: marks that repeat are dropped where chunks are cut.
+        marks = listed.groupBy("h").agg(F.flatten(F.collect_set("marks")).alias("marks"))
+    else:
+        listed = _written(packed.mapInArrow(_repeated_marks(broadcast(_marked(often))), _MARK), f"{folder}/marks")
+        marks = join_frequent(listed, often, "key").groupBy("h").agg(F.collect_set(F.struct("first", "last", "at", "key", "hot")).alias("marks"))
     marks = _written(marks, f"{folder}/runs")
     cut = join_frequent(_only(texts, marks), marks, "h", keys=names).select("h", "text", "marks").mapInArrow(_cut_chunks(width), _CHUNK)
     chunks = _written(cut, f"{folder}/chunks")

@@ -82,8 +82,9 @@ def awkward() -> list[str | None]:
     return out
 
 
-@pytest.mark.parametrize("hot, most", [(1 << 11, 900_000), (3, 900_000), (3, 700), (1 << 11, 3000)])
-def test_removed_bytes_match_brute_force(spark, monkeypatch, hot, most):
+@pytest.mark.parametrize("hot, most, sparse", [(1 << 11, 900_000, 1 << 23), (3, 900_000, 0), (3, 700, 1 << 23), (1 << 11, 3000, 0)])
+def test_removed_bytes_match_brute_force(spark, monkeypatch, hot, most, sparse):
+    monkeypatch.setattr(repeats, "SPARSE", sparse)
     monkeypatch.setattr(repeats, "HOT", hot)
     monkeypatch.setattr(repeats, "GROUP_BYTES", most)
     monkeypatch.setattr(repeats, "CHUNKS", 20_000)
@@ -94,6 +95,19 @@ def test_removed_bytes_match_brute_force(spark, monkeypatch, hot, most):
     assert got == sorted(brute(texts, 200))
 
 
+def test_long_copies_in_blocks_of_their_own_count_once(spark):
+    """Copies of a text of several pieces, among texts that shift where blocks end; its unique parts stay in the single one."""
+    rng = random.Random(4)
+    long_ = [sentence(rng, 40_000) + str(i) for i in range(2)]
+    texts = [long_[0], sentence(rng, 300), long_[0], sentence(rng, 60_000), long_[1], sentence(rng, 500), long_[1][:300_000]]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in repeats.remove_repeats(table, outputs=("n_removed", "n_spans")).collect()}
+    sizes = [len(t) for t in texts]
+    shared = min(300_000, sizes[4])
+    assert got[0] == got[2] == (sizes[0], sizes[0], 1) and got[6] == (shared, shared, 1) and got[4] == (sizes[4], shared, 1 if shared else 0)
+    assert all(got[i] == (sizes[i], 0, 0) for i in (1, 3, 5))
+
+
 def test_spans_and_kept_bytes_fit_together(spark):
     got = repeats.remove_repeats(docs(spark)).collect()
     assert len(got) == len(rows())
