@@ -62,18 +62,19 @@ def owners(rows: DataFrame, keys: list[Column], filled: list[Column], seq: str =
     listed = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"_key{c}").alias("key")) for c in range(len(keys))])
     asked = durable(known.select("_s", F.inline(listed)).where("key is not null"))
 
-    def all_rows(found: DataFrame) -> DataFrame:
-        return durable(known.select("_s").join(found, "_s", "left").withColumn("owner", F.coalesce("owner", "_s")))
+    def owned(rows: DataFrame, found: DataFrame) -> DataFrame:
+        """Every row with the owner that was found for it, itself without one, and with the owner it was guessed to have."""
+        guessed = F.col("owner") if "owner" in rows.columns else F.lit(None).cast("long")
+        joined = rows.select(*known.columns, guessed.alias("_was")).join(found, "_s", "left")
+        return durable(joined.withColumn("owner", F.coalesce("owner", "_s")))
 
     first = asked.groupBy("c", "key").agg(F.min("_s").alias("_s")).withColumn("owner", F.col("_s"))
-    guess = all_rows(_looked_up(asked, first))
+    guess = owned(known, _looked_up(asked, first))
     for _ in range(MOST_ROUNDS):
         moved = durable(guess.where("owner <> _s").select(F.col("_s").alias("owner"), F.col("owner").alias("_to")))
         if not guess.join(moved, "owner", "left_semi").isEmpty():  # a founder has joined another record: follow it
-            guess = durable(join_frequent(guess, moved, "owner", how="left").select("_s", F.coalesce("_to", "owner").alias("owner")))
-        members = durable(known.join(guess, "_s"))
-        found = all_rows(_looked_up(asked, _claims(members, len(keys))))
-        if found.join(guess.withColumnRenamed("owner", "_was"), "_s").where("owner <> _was").isEmpty():
-            return found.select(F.col("_s").cast(rows.schema[seq].dataType).alias(seq), "owner")
-        guess = found
+            guess = durable(join_frequent(guess, moved, "owner", how="left").withColumn("owner", F.coalesce("_to", "owner")).drop("_to"))
+        guess = owned(guess, _looked_up(asked, _claims(guess, len(keys))))
+        if guess.where("owner <> _was").isEmpty():
+            return guess.select(F.col("_s").cast(rows.schema[seq].dataType).alias(seq), "owner")
     raise RuntimeError(f"rows do not settle in {MOST_ROUNDS} rounds")
