@@ -46,3 +46,13 @@ def test_queries_without_sql_return_rows(spark):
 
 def test_every_sql_has_a_query():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_lookup_batches_ask_the_whole_index(spark, tmp_path):
+    """An id is known only if a record with a complete abstract holds it, whatever its venue."""
+    long = "A title of a made document\n" + "Words of a complete abstract. " * 10
+    rows = [(10, long), (11, "short"), (13, long), (14, long), (20, "short"), (22, "short"), (30, "short")]
+    spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.archive: (r.seq, r.batch) for r in catalog.lookup_batches(spark, str(tmp_path)).collect()}
+    # 10 names an archive id by its DOI; 20 and 22 share one that no complete record has; 10 is one for 11.
+    assert got == {"10": (10, 0), "2400.00003": (20, 0)}
