@@ -47,7 +47,7 @@ HOT, STEP, BITMAP_BITS = 1 << 11, 8, 26
 #: is alone in its group and falls there, so the result is the same.
 SPARSE = 1 << (BITMAP_BITS - 3)
 #: Bytes of distinct chunks that a task holds back to send each once; rows that are turned into Python values together.
-HELD, ROWS = 1 << 23, 128
+HELD, ROWS = 1 << 22, 128
 _ODD, _SEPARATOR = 0x9E3779B97F4A7C15, 0xFF  # no byte of UTF-8 is 0xFF
 
 
@@ -126,10 +126,14 @@ def suffix_order(s: np.ndarray, width: int) -> np.ndarray:
         order = np.argsort(key)
         if done == width:
             return order[order < len(s)]
-        ordered = key[order]
-        rank = np.empty(len(key), np.uint64)
-        rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1]))).astype(np.uint64)
-        key, known = rank.copy(), done
+        key = key[order]
+        fresh = np.empty(len(key), np.uint64)
+        fresh[0] = 0
+        np.cumsum(key[1:] != key[:-1], out=fresh[1:])
+        rank = key  # its memory serves again
+        rank[order] = fresh
+        key, known = fresh, done
+        key[:] = rank
         for _ in range(64 // bits - 1):
             step = min(done, width - known)
             if step:
@@ -144,17 +148,20 @@ def common_prefix_boundaries(s: np.ndarray, order: np.ndarray, width: int) -> np
     n = len(s)
     before = s[order - 1]  # the transform; the first suffix is preceded by the last byte
     by_byte = np.argsort(before, kind="stable")
-    step_back = np.empty(n, np.int64)
-    step_back[by_byte] = np.arange(n)
+    step_back = np.empty(n, np.int32)  # places of one transform fit four bytes
+    step_back[by_byte] = np.arange(n, dtype=np.int32)
+    del by_byte
     known = min(8, width)
     heads = _heads(s, known)[order]
-    low = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
-    high = np.append(low[1:], n)
+    low = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1]))).astype(np.int32)
+    del heads
+    high = np.append(low[1:], np.int32(n))
     marked = np.zeros(n + 1, bool)
     marked[low] = marked[n] = True
     edges = np.flatnonzero(before[1:] != before[:-1]) + 1
-    run_end = np.append(edges, n)[np.searchsorted(edges, np.arange(n), "right")]  # of equal preceding bytes
-    owner = np.empty(n, np.int64)
+    stops = np.append(edges, n).astype(np.int32)
+    run_end = np.repeat(stops, np.diff(stops, prepend=0))  # of equal preceding bytes
+    owner = np.empty(n, np.int32)
     for _ in range(known, width):
         plain = run_end[low] >= high  # one byte precedes the whole interval
         new_low = [step_back[low[plain]]]
@@ -163,8 +170,8 @@ def common_prefix_boundaries(s: np.ndarray, order: np.ndarray, width: int) -> np
         if len(a):
             size = z - a
             ends = np.cumsum(size)
-            number = np.repeat(np.arange(len(a)), size)
-            to = step_back[np.repeat(a - (ends - size), size) + np.arange(ends[-1])]
+            number = np.repeat(np.arange(len(a), dtype=np.int32), size)
+            to = step_back[np.repeat((a - (ends - size)).astype(np.int32), size) + np.arange(ends[-1], dtype=np.int32)]
             owner[to] = number
             to.sort()
             mine, byte = owner[to], s[order[to]]
@@ -184,7 +191,7 @@ def repeated_windows(chunks: list[bytes], weights: list[int], width: int) -> lis
     """For each chunk the runs (first, last) of its windows that stand at two places or more."""
     sizes = np.array([len(c) + 1 for c in chunks])
     s = np.frombuffer(b"".join(c + bytes([_SEPARATOR]) for c in chunks), np.uint8)
-    order = suffix_order(s, width)
+    order = suffix_order(s, width).astype(np.int32)
     group = np.cumsum(common_prefix_boundaries(s, order, width)) - 1
     chunk = np.repeat(np.arange(len(chunks)), sizes)
     starts = np.cumsum(sizes) - sizes
@@ -389,7 +396,7 @@ def _transform(width: int, enough: int, most: int):
         """(distinct chunks of one key with their weights, whether they are only a part of it)."""
         group: list[list] = []
         size, last, over = 0, None, False
-        for batch in batches:
+        for batch in _slices(batches):
             for key, cid, chunk, m in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != last:
                     if group:
@@ -411,7 +418,7 @@ def _transform(width: int, enough: int, most: int):
         ready, size = [], 0
         for group, part in groups(batches):
             own = sum(len(c) for _, c, _ in group)
-            if size and size + own > max(enough, most):
+            if size and size + own > enough:
                 yield from settle(ready)
                 ready, size = [], 0
             if part:

@@ -126,3 +126,18 @@ def test_empty_table_and_short_width(spark):
     assert repeats.remove_repeats(empty(spark)).collect() == []
     with pytest.raises(ValueError):
         repeats.remove_repeats(docs(spark), width=40)
+
+
+def test_a_transform_holds_few_bytes_for_each_of_its_own():
+    import tracemalloc
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=60)).encode() for _ in range(700)]
+    chunks = [*texts, *(t[:150] + t[155:] for t in texts[::2])]
+    repeats.repeated_windows(chunks, [1] * len(chunks), 200)
+    tracemalloc.start()
+    repeats.repeated_windows(chunks, [1] * len(chunks), 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 65 * sum(map(len, chunks))
