@@ -20,6 +20,8 @@ ID_KEYS = ("arxiv_id", "doi", "pmid")
 #: Buckets of the counts that order the grams of titles; length of grams, and of titles from which longer ones serve.
 GRAM_BITS = 20
 SHORT_GRAM, LONG_GRAM, LONG_TITLE = 4, 6, 24
+#: The group of each byte of a title: letters are dealt to eight, frequent ones apart. Fixed values.
+_GROUPS = np.array([{c: i % 8 for i, c in enumerate(" etaoinsrhldcumfpgwybvkxjqz0123456789")}.get(chr(b), b % 8) for b in range(256)])
 
 
 def normalized_index(records: DataFrame, *, plain: bool = False) -> DataFrame:
@@ -149,13 +151,25 @@ def _grams(title: str, q: int) -> np.ndarray:
     return value | (nth << np.uint64(48)) | (np.uint64(q == LONG_GRAM) << np.uint64(63))
 
 
+def _letters(title: str) -> int:
+    """How often the characters of each of eight groups stand in a title, a byte each, 255 at most."""
+    c = np.frombuffer(title.encode(), np.uint8)
+    return int(np.minimum(np.bincount(_GROUPS[c], minlength=8)[:8], 255).astype(np.uint8).view(np.int64)[0])
+
+
+def _letters_apart(a: Column, b: Column) -> Column:
+    """The sum of the differences of two ``_letters``: so many characters stand outside any matching blocks, or more."""
+    count = lambda c, k: F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(255))
+    return sum((F.abs(count(a, k) - count(b, k)) for k in range(1, 8)), F.abs(count(a, 0) - count(b, 0)))
+
+
 def _title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """``a_t, b_t``: every pair of distinct titles whose matching-block ratio can reach ``least``.
 
     Characters outside the blocks are insertions and deletions, each of which destroys at most ``q`` grams.
     So the rarest ``q * edits + 1`` grams of both titles, in one order, share one. Longer titles have longer grams,
-    which fewer others share. The order is by counts
-    of a fixed number of hash buckets.
+    which fewer others share. The order is by counts of a fixed number of hash buckets. Pairs that share a gram by chance
+    go where they meet, before they are shuffled, by the counts of their letters.
     """
     _check_grams(least)
     bucket = lambda g: ((g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
@@ -188,13 +202,14 @@ def _title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
                 own.append(np.concatenate(mine))
             at = pa.array(np.repeat(np.arange(len(own)), np.array([len(g) for g in own], np.int64)))
             gram = np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), *(c.take(at) for c in batch.columns[1:])], ["gram", "asks", "h", "n"])
+            letters = pa.array([_letters(t) for t in titles], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(gram), *(c.take(at) for c in (*batch.columns[1:], letters))], ["gram", "h", "n", "c"])
 
-    keyed = both.select("t", "asks", F.xxhash64("t").alias("h"), F.length("t").alias("n"))
-    spread = durable(keyed.mapInArrow(first, "gram long, asks boolean, h long, n int"))
-    # Runs are joined by gram with the titles' hashes and lengths; the titles come back for the pairs.
-    side = lambda x, asks: spread.where(F.col("asks") == asks).select("gram", F.col("h").alias(x + "h"), F.col("n").alias(x + "n"))
+    keyed = both.select("t", F.xxhash64("t").alias("h"), F.length("t").alias("n"), "asks")
+    # Runs are joined by gram with the titles' hashes, lengths and letters, which are made on the way into the shuffle; the titles come back for the pairs.
+    side = lambda x, asks: keyed.where(F.col("asks") == asks).drop("asks").mapInArrow(first, "gram long, h long, n int, c long").toDF("gram", x + "h", x + "n", x + "c")
     near = 2 * F.least("an", "bn") >= least * (F.col("an") + F.col("bn")) - 1e-9
+    near = near & (_letters_apart(F.col("ac"), F.col("bc")) <= (1 - least) * (F.col("an") + F.col("bn")) + 1e-9)
     pairs = side("a", True).join(side("b", False), "gram").where(near).select("ah", "bh").distinct()
     named = both.select(F.xxhash64("t").alias("h"), "t", "asks")
     pairs = pairs.join(named.where("asks").select(F.col("h").alias("ah"), F.col("t").alias("a_t")), "ah")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,3 +256,15 @@ def test_matching_takes_keys_in_order_and_rows_without_any(spark):
     frame = spark.createDataFrame(asked, "n int, arxiv_id string, doi string, pmid string, title string")
     got = {r.n: r.record and r.record.seq for r in resolution.match(frame, index).collect()}
     assert got == {0: 1, 1: 2, 2: 0, 3: None, 4: None, 5: None}
+
+
+def test_titles_that_share_grams_by_chance_are_no_pairs(spark):
+    shared = "quartz vowels "
+    left = spark.createDataFrame([(shared + "bcdfbghjkbmnpcrs",)], "a_t string")
+    right = spark.createDataFrame([(shared + "eaoieuaeoiaeuioa",), (shared + "bcdfbghjkbmnpcr",)], "b_t string")
+    assert [r.b_t for r in resolution._title_pairs(left, right, 0.94).collect()] == [shared + "bcdfbghjkbmnpcr"]
+    rng = random.Random(11)
+    for _ in range(300):
+        a, b = ("".join(rng.choices("etaoin shr0é", k=rng.randint(1, 400))) for _ in "ab")
+        ca, cb = (np.array([resolution._letters(t)]).view(np.uint8).astype(int) for t in (a, b))
+        assert abs(ca - cb).sum() <= len(a.encode()) + len(b.encode()) - 2 * sum(m.size for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
