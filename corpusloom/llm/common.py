@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.skew import join_frequent  # noqa: F401
-from corpusloom.session import durable
+from corpusloom.session import durable, remove_folder  # noqa: F401
 
 #: ASCII white space as the contracts define it; everything else belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -66,9 +66,3 @@ def row_hash(rows: DataFrame, seed: int, same: tuple[Column, ...], often: DataFr
 def same_row(key: Column, text: Column, stratum: Column) -> tuple[Column, Column, Column]:
     """What ``row_hash`` takes for rows with an id, a text and a stratum (a ``stratum_key``)."""
     return F.coalesce(key.cast("string"), F.lit("")), F.coalesce(F.md5(text.cast("string").cast("binary")), F.lit("")), stratum
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this run has written, wherever Spark keeps it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

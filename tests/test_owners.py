@@ -70,6 +70,30 @@ def test_a_founder_that_joins_another_takes_its_rows_along(spark):
     assert sorted(r.seq for r in identity.merge_duplicates(papers(spark, rows)).collect()) == [k["seq"] for k in in_order(rows)]
 
 
+def test_estimated_sizes_do_not_multiply_over_rounds(spark, monkeypatch):
+    digits = []
+    looked_up = owners._looked_up
+    size = lambda df: len(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    monkeypatch.setattr(owners, "_looked_up", lambda asked, claims: digits.append(size(claims)) or looked_up(asked, claims))
+    identity.merge_duplicates(papers(spark, random_rows(2, 90, 30, 0.0))).collect()
+    assert len(digits) > 3 and digits[-1] <= digits[1] + 10, digits
+
+
+def test_a_round_is_few_jobs(spark, monkeypatch):
+    """The driver keeps a plan of every query, so their number must not be dozens a round."""
+    rounds = []
+    looked_up = owners._looked_up
+    monkeypatch.setattr(owners, "_looked_up", lambda *a: rounds.append(1) or looked_up(*a))
+    rows = papers(spark, random_rows(2, 90, 30, 0.0)).localCheckpoint()
+    spark.sparkContext.setJobGroup("merge", "merge")
+    try:
+        identity.merge_duplicates(rows).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("merge"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(rounds) > 2 and jobs <= 25 * len(rounds) + 25, (jobs, len(rounds))
+
+
 def test_rows_that_do_not_settle_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(owners, "MOST_ROUNDS", 0)
     with pytest.raises(RuntimeError):
