@@ -45,6 +45,8 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 TABLE_BITS, BITMAP_BITS = 23, 26
 #: Shingles that are counted together, the most that one of them counts there, and the bits they keep.
 BLOCK, MOST, KEPT_BITS = 1 << 20, 16, 40
+#: Words whose hashes a Python worker holds (it outlives its tasks), and rows whose sets are in memory at once.
+MOST_WORDS, ROWS = 1 << 15, 1024
 _RUN = "key long, u long, ui long, v long, vi long"
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)).reshape(256, 8).astype(np.int64)
 
@@ -64,7 +66,7 @@ class _WordHashes(dict):
     """XXH64 of each word; forgotten when there are too many to hold."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
+        if len(self) >= MOST_WORDS:
             self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word, 42)
         return found
@@ -73,6 +75,13 @@ class _WordHashes(dict):
 _known = _WordHashes()
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``ROWS`` at once: what is made of a row can be larger than the row."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def shingle_hashes(text: str | None, words_per_shingle: int = 5) -> np.ndarray:
     """A 64-bit hash of every shingle of one whole text, in order, repeats included."""
     words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
@@ -179,7 +188,7 @@ def prefixes(docs: DataFrame, key: str, text: str, words: int, least: float) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = held.value
-        for batch in batches:
+        for batch in _slices(batches):
             node, fp, size, rare, prefix = [], [], [], [], []
             for t in batch.column(3):
                 every = shingle_hashes(t.as_py(), words)
@@ -239,7 +248,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, key: str, text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = marked.value
-        for batch in batches:
+        for batch in _slices(batches):
             rid = batch.column(0).to_numpy()
             at = rid & ((1 << BITMAP_BITS) - 1)
             some = batch.filter(pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1))

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -156,6 +157,18 @@ def test_one_of_each_group_of_similar_shingles_stays(spark, monkeypatch, seed, b
     assert sorted(kept) == sorted(set(root.values()))
 
 
+def test_a_worker_holds_few_words_and_makes_sets_of_few_rows(monkeypatch):
+    words = [str(i) for i in range(3 * shingles.MOST_WORDS)]
+    shingles._known.clear()
+    found = shingles.shingle_hashes(" ".join(words))
+    assert len(shingles._known) <= shingles.MOST_WORDS <= 1 << 16
+    assert (found[-3:] == shingles.shingle_hashes(" ".join(words[-7:]))).all()
+    monkeypatch.setattr(shingles, "ROWS", 4)
+    parts = list(shingles._slices([pa.record_batch({"x": list(range(n))}) for n in (9, 0, 4)]))
+    assert [b.num_rows for b in parts] == [4, 4, 1, 4]
+    assert [x for b in parts for x in b.column(0).to_pylist()] == [*range(9), *range(4)]
+
+
 def test_one_stays_where_ids_repeat_or_are_null(spark):
     texts = [sentence(random.Random(seed), 90) for seed in range(2)]
     rows_ = [(i, t + end) for i, t in zip((5, None), texts) for end in ("", " one", " two")]
