@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import glob
 import random
+import time
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import components, fulltext, identity, ranking, resolution, sections
 from corpusloom.schemas import CANDIDATE
+from corpusloom.session import SHUFFLES_GO, durable
 
 COLUMNS = f"seq bigint, {CANDIDATE}"
 
@@ -268,3 +271,20 @@ def test_titles_that_share_grams_by_chance_are_no_pairs(spark):
         a, b = ("".join(rng.choices("etaoin shr0é", k=rng.randint(1, 400))) for _ in "ab")
         ca, cb = (np.array([resolution._letters(t)]).view(np.uint8).astype(int) for t in (a, b))
         assert abs(ca - cb).sum() <= len(a.encode()) + len(b.encode()) - 2 * sum(m.size for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+
+
+def test_a_durable_table_leaves_no_shuffle_files(spark):
+    """On many partitions those of a long run took more disk than its data; the frame itself is still held here."""
+
+    def shuffled():
+        return {f for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+
+    before = shuffled()
+    frame = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().repartition("count").sortWithinPartitions("k")
+    table = durable(frame)
+    end = time.time() + 20
+    while (left := shuffled() - before) and time.time() < end:  # executors drop them a moment later
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(SHUFFLES_GO) == "false"
+    assert table.count() == frame.count() == table.join(durable(frame), "k").count() == 10
