@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -17,11 +19,10 @@ from .ranking import batches
 #: Most rows of one lookup request, by service. Fixed values.
 BATCH_SIZES = {"papers": 500, "archive": 100, "pubmed": 200, "titles": 10}
 ID_KEYS = ("arxiv_id", "doi", "pmid")
-#: Buckets of the counts that order the grams of titles; length of grams, and of titles from which longer ones serve.
+#: Buckets of the counts by which the pieces of a title are chosen.
 GRAM_BITS = 20
-SHORT_GRAM, LONG_GRAM, LONG_TITLE = 4, 6, 24
-#: The group of each byte of a title: letters are dealt to eight, frequent ones apart. Fixed values.
-_GROUPS = np.array([{c: i % 8 for i, c in enumerate(" etaoinsrhldcumfpgwybvkxjqz0123456789")}.get(chr(b), b % 8) for b in range(256)])
+#: The group of each byte of a title: letters are dealt to sixteen, frequent ones apart. Fixed values.
+_GROUPS = np.array([{c: i % 16 for i, c in enumerate(" etaoinsrhldcumfpgwybvkxjqz0123456789")}.get(chr(b), b % 16) for b in range(256)])
 
 
 def normalized_index(records: DataFrame, *, plain: bool = False) -> DataFrame:
@@ -115,50 +116,107 @@ def lookup_batches(values: DataFrame, known: DataFrame, column: str, size: int)
     return batches(missing, size, [F.asc("seq"), F.asc(column)])
 
 
-def _gram_lengths(n: int, least: float) -> tuple[int, ...]:
-    """The gram lengths a title of ``n`` characters is listed by: two for those that may meet a shorter class.
+def _edits(n: int, least: float) -> int:
+    """Most characters that a title of ``n`` and one of ratio ``least`` have outside their matching blocks."""
+    return int(2 * n * (1 - least) / least + 1e-9)
 
-    Of two titles of one class that reach the ratio, at least one gram is the same whatever their lengths.
-    """
-    if n < LONG_TITLE:
-        return (SHORT_GRAM,)
-    return (SHORT_GRAM, LONG_GRAM) if n * least / (2 - least) < LONG_TITLE else (LONG_GRAM,)
 
+def _piece(n: int, least: float) -> int:
+    """The length of the pieces of a title of ``n``: one piece more than may be destroyed fits in."""
+    return n // (_edits(n, least) + 1)
 
-def _check_grams(least: float) -> None:
-    for q, low, high in ((SHORT_GRAM, SHORT_GRAM, 2 * LONG_TITLE), (LONG_GRAM, LONG_TITLE, 4000)):
-        if any(n - q + 1 - q * _edits(n, least) < 1 for n in range(low, high)):
-            raise ValueError(f"no exact filter for a ratio of {least}")
 
+def _partners(n: int, least: float) -> tuple[int, int]:
+    """The least and the greatest length of a title that can reach the ratio beside one of ``n``, rounded outwards."""
+    reach = (2 - least) / least
+    return max(1, int(n / reach)), int(n * reach) + 1
 
-def _edits(n: int, least: float) -> int:
-    """Most characters that a title of ``n`` and one of ratio ``least`` have outside their matching blocks."""
-    return int(2 * n * (1 - least) / least + 1e-9)
+
+@lru_cache(maxsize=4096)
+def _pieces(n: int, least: float) -> tuple[int, ...]:
+    """The lengths of the pieces of all titles that one of ``n`` may meet."""
+    low, high = _partners(n, least)
+    return tuple(sorted({q for m in range(low, high + 1) if (q := _piece(m, least)) <= n}))
 
 
 def _grams(title: str, q: int) -> np.ndarray:
-    """The grams of a normalized title, numbered where they repeat; a shorter title is one gram."""
+    """A hash of every run of ``q`` characters of a normalized title."""
     c = np.frombuffer(title.encode(), np.uint8).astype(np.uint64)
-    width = min(q, len(c))
-    value = np.zeros(len(c) - width + 1, np.uint64)
-    for j in range(width):
-        value = (value << np.uint64(8)) | c[j : len(c) - width + 1 + j]
-    order = np.argsort(value, kind="stable")
-    run = value[order]
-    starts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
-    nth = np.empty(len(run), np.uint64)
-    nth[order] = np.arange(len(run)) - np.repeat(starts, np.diff(np.append(starts, len(run))))
-    return value | (nth << np.uint64(48)) | (np.uint64(q == LONG_GRAM) << np.uint64(63))
-
-
-def _letters(title: str) -> int:
-    """How often the characters of each of eight groups stand in a title, a byte each, 255 at most."""
+    out = np.full(len(c) - q + 1, q, np.uint64)
+    for j in range(q):
+        out = (out ^ c[j : len(c) - q + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _bucket(grams: np.ndarray, bits: int) -> np.ndarray:
+    return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _rarest(cost: np.ndarray, q: int, k: int) -> np.ndarray:
+    """The starts of ``k`` runs of ``q`` that do not overlap, of the least cost in all."""
+    room = len(cost) + q - k * q  # each run may start in so many places, behind those before it
+    at = np.arange(k)[:, None] * q + np.arange(room)
+    best = cost[at].astype(np.float64)
+    for j in range(1, k):
+        best[j] += np.minimum.accumulate(best[j - 1])
+    out, end = np.empty(k, np.int64), room
+    for j in range(k - 1, -1, -1):
+        end = int(best[j, :end].argmin()) + 1
+        out[j] = j * q + end - 1
+    return out
+
+
+def _width(size: int, least: float) -> int:
+    """The width of a cell for titles of ``2 ** size`` characters up to twice as many."""
+    return max(1, 2 * _edits((3 << size) >> 1, least))
+
+
+def _cells(grams: np.ndarray, size: int, length: int, place: np.ndarray) -> np.ndarray:
+    cell = np.uint64((size << 56) ^ (length << 28)) ^ (place + (1 << 26)).astype(np.uint64)
+    return (grams ^ (cell * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _asked_keys(title: str, least: float) -> np.ndarray:
+    """Every run of a title with the cell of its place, for all lengths of pieces that it may meet."""
+    n, found = len(title), []
+    size = n.bit_length() - 1
+    w = _width(size, least)
+    for q in _pieces(n, least):
+        g = _grams(title, q)
+        found.append(_cells(g, size, (n - q) // w, (2 * np.arange(len(g)) - (n - q)) // w))
+    return np.unique(np.concatenate(found))
+
+
+def _known_keys(title: str, least: float, counts: np.ndarray) -> np.ndarray:
+    """The rarest pieces of a title with all cells where they may stand in a title that reaches the ratio.
+
+    A place is told by the characters before and behind it. Each of the two differs by no more than the unmatched
+    characters on its side, so their sum and their difference differ by ``_edits`` at most.
+    """
+    n, d, q = len(title), _edits(len(title), least), _piece(len(title), least)
+    g = _grams(title, q)
+    start = _rarest(counts[_bucket(g, len(counts).bit_length() - 1)], q, d + 1)
+    g, place, found = g[start], 2 * start - (n - q), []
+    low, high = _partners(n, least)
+    for size in range(low.bit_length() - 1, high.bit_length()):
+        w = _width(size, least)
+        first, last = (place - d) // w, (place + d) // w
+        for step in range(int((last - first).max()) + 1):
+            on = first + step <= last
+            for length in range(max(0, n - q - d) // w, (n - q + d) // w + 1):
+                found.append(_cells(g[on], size, length, first[on] + step))
+    return np.unique(np.concatenate(found))
+
+
+def _letters(title: str) -> list[int]:
+    """How often the characters of each of sixteen groups stand in a title, a byte each, 255 at most."""
     c = np.frombuffer(title.encode(), np.uint8)
-    return int(np.minimum(np.bincount(_GROUPS[c], minlength=8)[:8], 255).astype(np.uint8).view(np.int64)[0])
+    return np.minimum(np.bincount(_GROUPS[c], minlength=16), 255).astype(np.uint8).view(np.int64).tolist()
 
 
 def _letters_apart(a: Column, b: Column) -> Column:
-    """The sum of the differences of two ``_letters``: so many characters stand outside any matching blocks, or more."""
+    """The sum of the differences of two halves of ``_letters``: so many characters stand outside any matching blocks, or more."""
     count = lambda c, k: F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(255))
     return sum((F.abs(count(a, k) - count(b, k)) for k in range(1, 8)), F.abs(count(a, 0) - count(b, 0)))
 
@@ -166,17 +224,20 @@ def _letters_apart(a: Column, b: Column) -> Column:
 def _title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """``a_t, b_t``: every pair of distinct titles whose matching-block ratio can reach ``least``.
 
-    Characters outside the blocks are insertions and deletions, each of which destroys at most ``q`` grams.
-    So the rarest ``q * edits + 1`` grams of both titles, in one order, share one. Longer titles have longer grams,
-    which fewer others share. The order is by counts of a fixed number of hash buckets. Pairs that share a gram by chance
-    go where they meet, before they are shuffled, by the counts of their letters.
+    A character outside the blocks destroys one at most of the pieces of a right title that do not overlap, so of one piece
+    more than there can be such characters, one stands whole in the left title, and near its own place. Pieces meet
+    the runs of the left titles by equality of their characters and a cell of places. Which pieces are taken is chosen by the
+    counts of runs in a fixed number of hash buckets. Pairs that share a piece by chance go where they meet, before
+    they are shuffled, by the counts of their letters.
     """
-    _check_grams(least)
-    bucket = lambda g: ((g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+    if 3 * least <= 2:
+        raise ValueError(f"no exact filter for a ratio of {least}")
+
+    bits = GRAM_BITS
 
     def counted(batches):
         for batch in batches:
-            found = [bucket(_grams(t, q)) for t in batch.column(0).to_pylist() for q in _gram_lengths(len(t), least)]
+            found = [_bucket(_grams(t, q), bits) for t in batch.column(0).to_pylist() for q in _pieces(len(t), least)]
             key, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["bucket", "n"])
 
@@ -186,31 +247,31 @@ def _title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     reach = (2 - least) / least
     right = right.where(F.length("b_t").between(int(low / reach), int(high * reach) + 1))  # no other length can match
     both = durable(left.select(F.col("a_t").alias("t"), F.lit(True).alias("asks")).distinct().unionByName(right.select(F.col("b_t").alias("t"), F.lit(False).alias("asks")).distinct()))
-    sums = both.select("t").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 1 << GRAM_BITS rows at most
-    counts = np.zeros(1 << GRAM_BITS, np.int64)
+    sums = both.where("asks").select("t").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 1 << bits rows at most
+    counts = np.zeros(1 << bits, np.int64)
     counts[sums.column("bucket").to_numpy()] = sums.column("n").to_numpy()
     held = both.sparkSession.sparkContext.broadcast(counts)
 
-    def first(batches):
-        for batch in batches:
-            titles, own = batch.column(0).to_pylist(), []
-            for t in titles:
-                mine = []
-                for q in _gram_lengths(len(t), least):
-                    g = _grams(t, q)
-                    mine.append(g[np.lexsort((g, held.value[bucket(g)]))[: q * _edits(len(t), least) + 1]])
-                own.append(np.concatenate(mine))
-            at = pa.array(np.repeat(np.arange(len(own)), np.array([len(g) for g in own], np.int64)))
-            gram = np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64)
-            letters = pa.array([_letters(t) for t in titles], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(gram), *(c.take(at) for c in (*batch.columns[1:], letters))], ["gram", "h", "n", "c"])
+    def keys(asks):
+        def run(batches):
+            for batch in batches:
+                titles = batch.column(0).to_pylist()
+                own = [_asked_keys(t, least) if asks else _known_keys(t, least, held.value) for t in titles]
+                at = pa.array(np.repeat(np.arange(len(own)), np.array([len(k) for k in own], np.int64)))
+                key = np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64)
+                halves = np.array([_letters(t) for t in titles], np.int64).reshape(-1, 2)
+                columns = [*batch.columns[1:], pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(c.take(at) for c in columns)], ["key", "h", "n", "c", "d"])
+
+        return run
 
     keyed = both.select("t", F.xxhash64("t").alias("h"), F.length("t").alias("n"), "asks")
-    # Runs are joined by gram with the titles' hashes, lengths and letters, which are made on the way into the shuffle; the titles come back for the pairs.
-    side = lambda x, asks: keyed.where(F.col("asks") == asks).drop("asks").mapInArrow(first, "gram long, h long, n int, c long").toDF("gram", x + "h", x + "n", x + "c")
+    # Keys are joined with the titles' hashes, lengths and letters, which are made on the way into the shuffle; the titles come back for the pairs.
+    side = lambda x, asks: keyed.where(F.col("asks") == asks).drop("asks").mapInArrow(keys(asks), "key long, h long, n int, c long, d long").toDF("key", *[x + k for k in "hncd"])
     near = 2 * F.least("an", "bn") >= least * (F.col("an") + F.col("bn")) - 1e-9
-    near = near & (_letters_apart(F.col("ac"), F.col("bc")) <= (1 - least) * (F.col("an") + F.col("bn")) + 1e-9)
-    pairs = side("a", True).join(side("b", False), "gram").where(near).select("ah", "bh").distinct()
+    apart = _letters_apart(F.col("ac"), F.col("bc")) + _letters_apart(F.col("ad"), F.col("bd"))
+    near = near & (apart <= (1 - least) * (F.col("an") + F.col("bn")) + 1e-9)
+    pairs = side("a", True).join(side("b", False), "key").where(near).select("ah", "bh").distinct()
     named = both.select(F.xxhash64("t").alias("h"), "t", "asks")
     pairs = pairs.join(named.where("asks").select(F.col("h").alias("ah"), F.col("t").alias("a_t")), "ah")
     return pairs.join(named.where("not asks").select(F.col("h").alias("bh"), F.col("t").alias("b_t")), "bh").select("a_t", "b_t")

@@ -288,3 +288,14 @@ def test_a_durable_table_leaves_no_shuffle_files(spark):
     assert not left
     assert spark.conf.get(SHUFFLES_GO) == "false"
     assert table.count() == frame.count() == table.join(durable(frame), "k").count() == 10
+
+
+def test_random_titles_of_one_language_hardly_meet(spark):
+    """Titles made of the same few syllables share short runs; only whole pieces near their own place may make a pair of them."""
+    rng = random.Random(3)
+    make = lambda: " ".join("".join(rng.choices(["the", "nd", "er", "on", "ea", "ha", "ti", "re"], k=rng.randint(1, 3))) for _ in range(16))
+    known = [make() for _ in range(400)]
+    asked = [make() for _ in range(400)] + [t[:12] + t[13:] for t in known[:20]]
+    frame = lambda titles, name: spark.createDataFrame([(t,) for t in titles], f"{name} string")
+    pairs = {tuple(r) for r in resolution._title_pairs(frame(asked, "a_t"), frame(known, "b_t"), 0.94).collect()}
+    assert {(t[:12] + t[13:], t) for t in known[:20]} <= pairs and len(pairs) < 200
